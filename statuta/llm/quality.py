@@ -107,7 +107,22 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, alpha: float = ALPHA, cost:
                 w[ids] += step * v
                 bias += step
                 dual[k] = new
-    return NbSvm((w * ratio), ratio * ratio, bias)
+    model = NbSvm(w * ratio, ratio * ratio, bias)
+    model.bias -= _cut(np.array([w[i] @ v for i, v in zip(rows, x, strict=True)]) + bias, y)
+    return model
+
+
+def _cut(margins: np.ndarray, y: np.ndarray) -> float:
+    """Where to cut the training margins: the middle of the gap with the fewest errors, both classes weighing alike."""
+    order = np.argsort(margins, kind="stable")
+    m, positive = margins[order], y[order] > 0
+    below = np.concatenate([[0], np.cumsum(positive)]) / positive.sum()
+    above = 1 - np.concatenate([[0], np.cumsum(~positive)]) / (~positive).sum()
+    wrong = below + above
+    edges = np.concatenate([[m[0] - 1], (m[1:] + m[:-1]) / 2, [m[-1] + 1]])
+    gap = np.concatenate([[0], m[1:] - m[:-1], [0]])
+    best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
+    return float(edges[best[np.argmax(gap[best])]])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> NbSvm:
