@@ -9,7 +9,7 @@ windows have equal fingerprints and neighbours mostly share one.
   whether two documents of the block have them.
 * ``shared`` merge-joins the sorted runs, bucket by bucket: fingerprints that
   two documents have go back to the blocks that hold them.
-* ``resolve`` verifies: for windows with a shared fingerprint, 128 bits of
+* ``resolve`` verifies: for windows with a shared fingerprint, 96 bits of
   independent hashes of the whole window meet the smallest doc_id that has
   them, and the words that a window of a smaller document covers go.
 * ``compact`` merges the runs of each bucket into one.
@@ -58,7 +58,7 @@ def _fingerprints(texts: list[str | None]):
 
 
 def _window_hashes(word: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return spans_hash(word, starts, starts + WINDOW, 1), spans_hash(mixed(word), starts, starts + WINDOW, 2)
+    return spans_hash(word, starts, starts + WINDOW, 1), (spans_hash(mixed(word), starts, starts + WINDOW, 2) >> np.uint64(32)).astype(np.uint32)
 
 
 def _owners(first: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -146,7 +146,7 @@ def _candidates(docs: pd.DataFrame, shared: pd.DataFrame):
         starts = starts[_contains(common, low)]
         h1, h2 = _window_hashes(word, starts)
         out.append(np.rec.fromarrays([h1, h2, ids[a + _owners(first, starts)].astype(np.int64)], names="h,g,d"))
-    return np.concatenate(out) if out else np.rec.fromarrays([np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)], names="h,g,d")
+    return np.concatenate(out) if out else np.rec.fromarrays([np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)], names="h,g,d")
 
 
 def _least(h: np.ndarray, g: np.ndarray, d: np.ndarray):
@@ -175,7 +175,7 @@ def _windows(buckets: int):
 
 def _first_holders(pdf: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket's windows: per block, those that a smaller document of another block has."""
-    lists = [(np.frombuffer(h, np.uint64), np.frombuffer(g, np.uint64), np.frombuffer(d, np.int64)) for h, g, d in zip(pdf["h"], pdf["g"], pdf["d"], strict=True)]
+    lists = [(np.frombuffer(h, np.uint64), np.frombuffer(g, np.uint32), np.frombuffer(d, np.int64)) for h, g, d in zip(pdf["h"], pdf["g"], pdf["d"], strict=True)]
     h, g, d = (np.concatenate([x[i] for x in lists]) for i in range(3))
     block = np.repeat(pdf["block"].to_numpy(), [len(x[0]) for x in lists])
     order = np.lexsort((d, g, h))
@@ -196,7 +196,7 @@ def _resolved(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     # "shared" rows carry fingerprints in h and nothing else.
     shared, early = known[known["g"].isna()], known[known["g"].notna()]
     found = _candidates(docs, pd.DataFrame({"hashes": shared["h"].tolist()}))
-    parts = [(found["h"], found["g"], found["d"])] + [(np.frombuffer(h, np.uint64), np.frombuffer(g, np.uint64), np.frombuffer(d, np.int64)) for h, g, d in zip(early["h"], early["g"], early["d"], strict=True)]
+    parts = [(found["h"], found["g"], found["d"])] + [(np.frombuffer(h, np.uint64), np.frombuffer(g, np.uint32), np.frombuffer(d, np.int64)) for h, g, d in zip(early["h"], early["g"], early["d"], strict=True)]
     kh, kg, kd = _least(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
     n_words, n_removed, kept = [], [], []
     for a, b in batches(texts):
@@ -209,7 +209,7 @@ def _resolved(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
             h1 = spans_hash(word, starts, starts + WINDOW, 1)
             hit = _contains(kh, h1)
             starts, h1 = starts[hit], h1[hit]
-            h2 = spans_hash(mixed(word), starts, starts + WINDOW, 2)
+            h2 = (spans_hash(mixed(word), starts, starts + WINDOW, 2) >> np.uint64(32)).astype(np.uint32)
             at = np.searchsorted(kh, h1)
             same = np.zeros(len(at), bool)
             low = np.zeros(len(at), np.int64)
