@@ -8,19 +8,23 @@ near copies if the Jaccard similarity of their shingle sets is at least
 1. Lines with equal text become one distinct line (64-bit hash).
 2. One-permutation MinHash: a shingle's hash falls into one of
    ``bands * rows`` bins and each bin keeps its minimum.  Shingles whose hash
-   is above a bound that leaves about five a bin never reach a bin's minimum,
+   is above a bound that leaves about two a bin never reach a bin's minimum,
    so they go before the aggregation.
-3. A band's key joins the minima of its bins.  In a band bucket every member
-   is compared with the bucket's leader (its smallest member); those that are
-   no near copies of it elect the next leader, until each member is linked or
-   has led.  Work is linear in a bucket's size for each leader, never the
-   square of it.
+3. A band's key joins the minima of its bins, at least two of which must hold
+   something.  In a band bucket every member is compared with the bucket's
+   leader (its smallest member).  Those that are no near copies of it are
+   compared with each other if they are few; if they are many, their other
+   bands split them first, and they elect the next leader, until each member
+   is linked or has led.  Work is linear in a bucket's size for each leader,
+   never the square of it.
 4. The exact Jaccard similarity decides each link; union-find joins them.
 5. Of a component's lines, over all documents, the first one stays: smallest
    doc_id (nulls first), then smallest line number.
 
-With the defaults, lines at the threshold meet in a band with probability
-1 - (1 - 0.8^4)^10 = 0.995, closer ones practically always.
+With the defaults about 3.5 of a band's 4 bins hold something, so that lines at
+the threshold meet in a band with probability 1 - (1 - 0.8^3.5)^8 = 0.99, closer
+ones practically always.  Lines of fewer than about 24 characters fill few bins:
+they meet less often, unless they are equal.
 """
 
 from __future__ import annotations
@@ -28,19 +32,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, remove, row_key, stored
+from .common import release, remove, row_key, scan_tasks, stored
 from .graph import components
 
-THRESHOLD, WIDTH, BANDS, ROWS = 0.8, 8, 10, 4
+THRESHOLD, WIDTH, BANDS, ROWS = 0.8, 8, 8, 4
+
+#: Rows of two numbers up to which a table is broadcast, after its rows have been counted (about 16 MB).
+BROADCAST_ROWS = 500_000
 
 #: Buckets of up to this many members compare all of them when their first leader leaves some unlinked.
-SMALL_BUCKET = 32
+SMALL_BUCKET = 16
+
+#: Pairs whose shingles a task counts at a time.
+PAIRS_A_TASK = 500
 
 
-def _shingle_hashes(line: str, width: int) -> F.Column:
-    raw = F.encode(F.col(line), "UTF-16BE")
-    last = F.greatest(F.lit(1), F.floor(F.length(raw) / 2).cast("int") - width + 1)
-    return F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.substring(raw, 2 * i - 1, F.lit(2 * width))))
+def _units(line: str, width: int) -> list[F.Column]:
+    """The line as UTF-16 and its number of shingles."""
+    raw = F.encode(line, "UTF-16BE")
+    return [raw.alias("raw"), F.greatest(F.lit(1), F.floor(F.length(raw) / 2).cast("int") - width + 1).alias("n")]
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
@@ -57,39 +67,50 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _band_rows(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """(band, h) for each band of each distinct line; needs no exchange beyond that of ``distinct``."""
     bins = bands * rows
-    raw = distinct.select("h", F.encode("line", "UTF-16BE").alias("raw"))
-    raw = raw.withColumn("n", F.greatest(F.lit(1), F.floor(F.length("raw") / 2).cast("int") - width + 1))
-    # Of n hashes, 5 * bins are expected below the bound.
-    raw = raw.withColumn("most", (F.least(F.lit(1.0), F.lit(5.0 * bins) / F.col("n")) * float(1 << 31)).cast("long"))
+    raw = distinct.select("h", *_units("line", width))
+    # Of n hashes, 2 * bins are expected below the bound.
+    raw = raw.withColumn("most", (F.least(F.lit(1.0), F.lit(2.0 * bins) / F.col("n")) * float(1 << 31)).cast("long"))
     each = raw.select("h", "raw", "most", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
     each = each.select("h", "most", F.xxhash64(F.expr(f"substring(raw, 2 * i - 1, {2 * width})")).alias("x"))
     each = each.select("h", F.shiftrightunsigned("x", 33).alias("v"), F.expr(f"cast((x & 4294967295) % {bins} as int)").alias("bin"), "most").where("v <= most")
     least = each.groupBy("h", "bin").agg(F.min("v").alias("v"))
     least = least.select("h", F.expr(f"bin div {rows}").alias("b"), F.xxhash64("bin", "v").alias("x"))
-    return least.groupBy("h", "b").agg(F.bit_xor("x").alias("x")).select(F.xxhash64("b", "x").alias("band"), "h")
+    return least.groupBy("h", "b").agg(F.bit_xor("x").alias("x"), F.count("*").alias("held")).where("held > 1").select(F.xxhash64("b", "x").alias("band"), "h")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(a, b, linked) for the (a, b) of ``pairs``; ``texts`` has (h, line).
+
+    Both lines' shingles are laid out as rows and counted by pair and shingle:
+    compiled code, where functions on arrays would be interpreted.  As the rows
+    multiply only after the exchange, its partitions are set by the pairs' number.
+    """
+    tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_tasks(pairs, PAIRS_A_TASK))
+    units = texts.select("h", *_units("line", width))
+    both = pairs.join(units.toDF("a", "raw_a", "n_a"), "a").join(units.toDF("b", "raw_b", "n_b"), "b").repartition(tasks, "a", "b")
+    each = both.select("a", "b", "raw_a", "raw_b", "n_a", F.explode(F.sequence(F.lit(1), F.col("n_a") + F.col("n_b"))).alias("i"))
+    hashed = F.expr(f"xxhash64(if(i <= n_a, substring(raw_a, 2 * i - 1, {2 * width}), substring(raw_b, 2 * (i - n_a) - 1, {2 * width})))")
+    each = each.select("a", "b", hashed.alias("x"), F.expr("if(i <= n_a, 1, 2)").alias("side"))
+    sides = each.groupBy("a", "b", "x").agg(F.bit_or("side").alias("side"))
+    counted = sides.groupBy("a", "b").agg(F.count("*").alias("either"), F.sum(F.expr("if(side = 3, 1, 0)")).alias("both"))
+    return counted.select("a", "b", (F.col("both") >= threshold * F.col("either") - 1e-9).alias("linked"))
 
 
-def _verified(pairs: DataFrame, distinct: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(a, b, linked) for the (a, b) of ``pairs``."""
-    text_a = distinct.select(F.col("h").alias("a"), F.col("line").alias("line_a"))
-    text_b = distinct.select(F.col("h").alias("b"), F.col("line").alias("line_b"))
-    both = pairs.join(text_a, "a").join(text_b, "b")
-    both = both.select("a", "b", F.array_distinct(_shingle_hashes("line_a", width)).alias("sa"), F.array_distinct(_shingle_hashes("line_b", width)).alias("sb"))
-    both = both.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return both.select("a", "b", (F.col("common") >= threshold * (F.size("sa") + F.size("sb") - F.col("common")) - 1e-9).alias("linked"))
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if a count shows that it's small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Verified links (a, b) between the hashes of distinct near-copy lines; ``lines`` has (h, line)."""
     spark = lines.sparkSession
-    open_rows = stored(_band_rows(lines.select("h", "line").dropDuplicates(["h"]), width, bands, rows), "bands")
+    every = stored(_band_rows(lines.select("h", "line").dropDuplicates(["h"]), width, bands, rows), "bands")
     release(spark)
     links: list[DataFrame] = []
+    open_rows = every
     while True:
         sizes = open_rows.groupBy("band").agg(F.min("h").alias("a"), F.count("*").alias("n")).where("n > 1")
         rest = stored(open_rows.join(sizes, "band"), "rivals")
-        old, open_rows = open_rows, None
-        remove(spark, old)
         if rest.isEmpty():
             break
         followers = rest.where("h <> a")
@@ -101,14 +122,22 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
             small = small.select("hs", F.posexplode("hs").alias("i", "a")).select("a", F.explode(F.expr("slice(hs, i + 2, size(hs))")).alias("b"))
             pairs = pairs.unionByName(small)
         pairs = stored(pairs.distinct(), "pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-        texts = lines.select("h", "line").join(ends, "h", "left_semi").dropDuplicates(["h"])
+        ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "ends")
+        texts = lines.select("h", "line").join(_small(ends), "h", "left_semi").dropDuplicates(["h"])
         checked = stored(_verified(pairs, texts, width, threshold), "checked")
         release(spark)
         links.append(checked.where("linked").select("a", "b"))
         failed = checked.where("not linked").select("a", F.col("b").alias("h"))
-        open_rows = stored(followers.join(failed, ["a", "h"]).select("band", "h"), "bands")
-        remove(spark, pairs, rest)
+        open_rows = followers.join(failed, ["a", "h"]).select("band", "h")
+        if len(links) == 1:
+            # Near copies in a large bucket share other bands as well, chance neighbours don't.
+            counted = open_rows.groupBy("band").agg(F.count("*").alias("n"))
+            sized = stored(open_rows.join(counted, "band"), "open")
+            large = sized.where(F.col("n") > SMALL_BUCKET).select("band", "h")
+            split = large.join(every.withColumnRenamed("band", "other"), "h").where("band <> other")
+            open_rows = sized.where(F.col("n") <= SMALL_BUCKET).select("band", "h").unionByName(split.select(F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band"), "h").distinct())
+        open_rows = stored(open_rows, "open")
+        remove(spark, pairs, ends, rest)
     if not links:
         return spark.createDataFrame([], "a long, b long")
     out = links[0]
@@ -138,10 +167,11 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
     extra = extra.where((F.col("__doc") != F.col("first_doc")) | (F.col("line_no") != F.col("first_no")))
     gone = stored(extra.select("__doc", "line_no").distinct(), "gone")
     release(spark)
+    few = gone.count() <= BROADCAST_ROWS
     gone = gone.groupBy("__doc").agg(F.collect_list("line_no").alias("__gone"))
     passed = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     base = docs.select(*[F.col(c) for c in passed], row_key("doc_id", "text").alias("__doc"))
-    both = base.join(gone, "__doc", "left")
+    both = base.join(F.broadcast(gone) if few else gone, "__doc", "left")
     both = both.withColumn("__parts", F.split("text", "\n"))
     stay = F.expr("array_except(sequence(0, size(__parts) - 1), __gone)")
     kept = F.array_join(F.transform(stay, lambda i: F.get("__parts", i)), "\n")
