@@ -10,7 +10,7 @@ near copies if the Jaccard similarity of their shingle sets is at least
    ``bands * rows`` bins and each bin keeps its minimum.  Shingles whose hash
    is above a bound that leaves about two a bin never reach a bin's minimum,
    so they go before the aggregation.
-3. A band's key joins the minima of its bins, at least two of which must hold
+3. A band's key joins the minima of its bins, at least three of which must hold
    something.  In a band bucket every member is compared with the bucket's
    leader (its smallest member).  Those that are no near copies of it are
    compared with each other if they are few; if they are many, their other
@@ -75,7 +75,7 @@ def _band_rows(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFr
     each = each.select("h", F.shiftrightunsigned("x", 33).alias("v"), F.expr(f"cast((x & 4294967295) % {bins} as int)").alias("bin"), "most").where("v <= most")
     least = each.groupBy("h", "bin").agg(F.min("v").alias("v"))
     least = least.select("h", F.expr(f"bin div {rows}").alias("b"), F.xxhash64("bin", "v").alias("x"))
-    return least.groupBy("h", "b").agg(F.bit_xor("x").alias("x"), F.count("*").alias("held")).where("held > 1").select(F.xxhash64("b", "x").alias("band"), "h")
+    return least.groupBy("h", "b").agg(F.bit_xor("x").alias("x"), F.count("*").alias("held")).where("held > 2").select(F.xxhash64("b", "x").alias("band"), "h")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
