@@ -65,7 +65,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _band_rows(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(band, h) for each band of each distinct line; needs no exchange beyond that of ``distinct``."""
+    """(band, h) for each band of each distinct line; needs no exchange beyond that of ``distinct``.
+
+    The minima of a line are columns of one row, so that the aggregation holds
+    a group for each line, not one for each line and bin.
+    """
     bins = bands * rows
     raw = distinct.select("h", *_units("line", width))
     # Of n hashes, 2 * bins are expected below the bound.
@@ -73,27 +77,29 @@ def _band_rows(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFr
     each = raw.select("h", "raw", "most", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
     each = each.select("h", "most", F.xxhash64(F.expr(f"substring(raw, 2 * i - 1, {2 * width})")).alias("x"))
     each = each.select("h", F.shiftrightunsigned("x", 33).alias("v"), F.expr(f"cast((x & 4294967295) % {bins} as int)").alias("bin"), "most").where("v <= most")
-    least = each.groupBy("h", "bin").agg(F.min("v").alias("v"))
-    least = least.select("h", F.expr(f"bin div {rows}").alias("b"), F.xxhash64("bin", "v").alias("x"))
-    return least.groupBy("h", "b").agg(F.bit_xor("x").alias("x"), F.count("*").alias("held")).where("held > 2").select(F.xxhash64("b", "x").alias("band"), "h")
+    least = each.groupBy("h").agg(*[F.min(F.expr(f"if(bin = {k}, v, null)")).alias(f"m{k}") for k in range(bins)])
+    keys = []
+    for band in range(bands):
+        mine = [f"m{k}" for k in range(band * rows, (band + 1) * rows)]
+        held = " + ".join(f"if({m} is null, 0, 1)" for m in mine)
+        keys.append(f"if({held} > 2, xxhash64({band}, {', '.join(f'coalesce({m}, -1)' for m in mine)}), null)")
+    return least.select(F.explode(F.expr(f"array({', '.join(keys)})")).alias("band"), "h").where("band is not null")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
     """(a, b, linked) for the (a, b) of ``pairs``; ``texts`` has (h, line).
 
-    Both lines' shingles are laid out as rows and counted by pair and shingle:
-    compiled code, where functions on arrays would be interpreted.  As the rows
-    multiply only after the exchange, its partitions are set by the pairs' number.
+    Shingles are compared as arrays of 64-bit hashes, whose distinct values and
+    common values Spark finds in hash sets.  As the work comes only after the
+    exchange, its partitions are set by the pairs' number.
     """
     tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_tasks(pairs, PAIRS_A_TASK))
     units = texts.select("h", *_units("line", width))
     both = pairs.join(units.toDF("a", "raw_a", "n_a"), "a").join(units.toDF("b", "raw_b", "n_b"), "b").repartition(tasks, "a", "b")
-    each = both.select("a", "b", "raw_a", "raw_b", "n_a", F.explode(F.sequence(F.lit(1), F.col("n_a") + F.col("n_b"))).alias("i"))
-    hashed = F.expr(f"xxhash64(if(i <= n_a, substring(raw_a, 2 * i - 1, {2 * width}), substring(raw_b, 2 * (i - n_a) - 1, {2 * width})))")
-    each = each.select("a", "b", hashed.alias("x"), F.expr("if(i <= n_a, 1, 2)").alias("side"))
-    sides = each.groupBy("a", "b", "x").agg(F.bit_or("side").alias("side"))
-    counted = sides.groupBy("a", "b").agg(F.count("*").alias("either"), F.sum(F.expr("if(side = 3, 1, 0)")).alias("both"))
-    return counted.select("a", "b", (F.col("both") >= threshold * F.col("either") - 1e-9).alias("linked"))
+    sets = [F.expr(f"array_distinct(transform(sequence(1, n_{e}), i -> xxhash64(substring(raw_{e}, 2 * i - 1, {2 * width}))))").alias(f"set_{e}") for e in "ab"]
+    sets = both.select("a", "b", *sets)
+    counted = sets.select("a", "b", F.expr("size(set_a) + size(set_b)").alias("total"), F.size(F.array_intersect("set_a", "set_b")).alias("both"))
+    return counted.select("a", "b", (F.col("both") >= threshold * (F.col("total") - F.col("both")) - 1e-9).alias("linked"))
 
 
 def _small(df: DataFrame) -> DataFrame:
