@@ -7,11 +7,10 @@ near copies if the Jaccard similarity of their shingle sets is at least
 
 1. Lines with equal text become one distinct line (64-bit hash).
 2. One-permutation MinHash: a shingle's hash falls into one of
-   ``bands * rows`` bins and each bin keeps its minimum.  Shingles whose hash
-   is above a bound that leaves about two a bin never reach a bin's minimum,
-   so they go before the aggregation.
-3. A band's key joins the minima of its bins, at least three of which must hold
-   something.  In a band bucket every member is compared with the bucket's
+   ``bands * rows`` bins and each bin keeps its minimum.  A bin that stays empty
+   takes, of the line's minima hashed with the bin's number, the smallest, so
+   that every line has all its bands however few shingles it has.
+3. A band's key joins the minima of its bins.  In a band bucket every member is compared with the bucket's
    leader (its smallest member).  Those that are no near copies of it are
    compared with each other if they are few; if they are many, their other
    bands split them first, and they elect the next leader, until each member
@@ -21,10 +20,8 @@ near copies if the Jaccard similarity of their shingle sets is at least
 5. Of a component's lines, over all documents, the first one stays: smallest
    doc_id (nulls first), then smallest line number.
 
-With the defaults about 3.5 of a band's 4 bins hold something, so that lines at
-the threshold meet in a band with probability 1 - (1 - 0.8^3.5)^8 = 0.99, closer
-ones practically always.  Lines of fewer than about 24 characters fill few bins:
-they meet less often, unless they are equal.
+Lines at the threshold meet in a band with probability 1 - (1 - 0.8^4)^10 = 0.99,
+closer ones practically always.
 """
 
 from __future__ import annotations
@@ -35,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import release, remove, row_key, scan_tasks, stored
 from .graph import components
 
-THRESHOLD, WIDTH, BANDS, ROWS = 0.8, 8, 8, 4
+THRESHOLD, WIDTH, BANDS, ROWS = 0.8, 8, 10, 4
 
 #: Rows of two numbers up to which a table is broadcast, after its rows have been counted (about 16 MB).
 BROADCAST_ROWS = 500_000
@@ -72,18 +69,15 @@ def _band_rows(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFr
     """
     bins = bands * rows
     raw = distinct.select("h", *_units("line", width))
-    # Of n hashes, 2 * bins are expected below the bound.
-    raw = raw.withColumn("most", (F.least(F.lit(1.0), F.lit(2.0 * bins) / F.col("n")) * float(1 << 31)).cast("long"))
-    each = raw.select("h", "raw", "most", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
-    each = each.select("h", "most", F.xxhash64(F.expr(f"substring(raw, 2 * i - 1, {2 * width})")).alias("x"))
-    each = each.select("h", F.shiftrightunsigned("x", 33).alias("v"), F.expr(f"cast((x & 4294967295) % {bins} as int)").alias("bin"), "most").where("v <= most")
+    each = raw.select("h", "raw", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    each = each.select("h", F.xxhash64(F.expr(f"substring(raw, 2 * i - 1, {2 * width})")).alias("x"))
+    each = each.select("h", F.shiftrightunsigned("x", 33).alias("v"), F.expr(f"cast((x & 4294967295) % {bins} as int)").alias("bin"))
     least = each.groupBy("h").agg(*[F.min(F.expr(f"if(bin = {k}, v, null)")).alias(f"m{k}") for k in range(bins)])
-    keys = []
-    for band in range(bands):
-        mine = [f"m{k}" for k in range(band * rows, (band + 1) * rows)]
-        held = " + ".join(f"if({m} is null, 0, 1)" for m in mine)
-        keys.append(f"if({held} > 2, xxhash64({band}, {', '.join(f'coalesce({m}, -1)' for m in mine)}), null)")
-    return least.select(F.explode(F.expr(f"array({', '.join(keys)})")).alias("band"), "h").where("band is not null")
+    least = least.select("h", F.array(*[f"m{k}" for k in range(bins)]).alias("m"))
+    # An array of one item binds a name, so that what it stands for is worked out once.
+    full = "transform(array(filter(m, x -> x is not null)), held -> transform(m, (x, k) -> coalesce(x, array_min(transform(held, y -> xxhash64(k, y))))))"
+    keys = f"transform({full}, d -> transform(sequence(0, {bands - 1}), band -> xxhash64(band, slice(d, band * {rows} + 1, {rows}))))[0]"
+    return least.select(F.explode(F.expr(keys)).alias("band"), "h")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:

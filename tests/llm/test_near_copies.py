@@ -9,7 +9,7 @@ import xxhash
 
 from statuta.llm.embedding_dedup import near_vectors
 from statuta.llm.graph import components
-from statuta.llm.line_dedup import dedup_lines
+from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_rows, dedup_lines
 from statuta.llm.simhash import GrayTree, dedup_simhash, fingerprints, gray_rank, hexed, simhash_groups
 from statuta.llm.substring_dedup import dedup_substrings, kept_digest
 
@@ -191,3 +191,27 @@ def test_embedding_dedup_matches_brute_force(spark):
     assert (got[502].n_links, got[503].component_id, got[504].n_links, got[505].kept) == (0, 503, 0, True)
     assert got[509].component_id == 508
     assert near_vectors(spark.createDataFrame([], docs.schema)).count() == 0
+
+
+def met(spark, pairs):
+    """The share of pairs of lines that meet in a band."""
+    lines = sorted({x for p in pairs for x in p})
+    rows = _band_rows(spark.createDataFrame(list(enumerate(lines)), "h long, line string"), WIDTH, BANDS, ROWS).collect()
+    bands = {x: set() for x in lines}
+    for r in rows:
+        bands[lines[r.h]].add(r.band)
+    assert all(len(b) == BANDS for b in bands.values())
+    return sum(bool(bands[a] & bands[b]) for a, b in pairs) / len(pairs)
+
+
+def test_short_and_repetitive_near_copies_meet(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+    line = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    for n in (12, 16, 20, 24, 40):
+        pairs = [(x, x + ".") for x in (line(n) for _ in range(100))]
+        assert all(len(shingles(a) & shingles(b)) >= 0.8 * len(shingles(a) | shingles(b)) for a, b in pairs)
+        assert met(spark, pairs) >= 0.97
+    for times in (5, 20):
+        assert met(spark, [(x * times, x * times + ".") for x in (line(120) for _ in range(40))]) == 1
+    assert met(spark, [("aaaaaaaa", "aaaaaaaaaaaa"), ("short", "short")]) == 1
