@@ -10,12 +10,15 @@ near copies if the Jaccard similarity of their shingle sets is at least
    ``bands * rows`` bins and each bin keeps its minimum.  A bin that stays empty
    takes, of the line's minima hashed with the bin's number, the smallest, so
    that every line has all its bands however few shingles it has.
-3. A band's key joins the minima of its bins.  In a band bucket every member is compared with the bucket's
-   leader (its smallest member).  Those that are no near copies of it are
-   compared with each other if they are few; if they are many, their other
-   bands split them first, and they elect the next leader, until each member
-   is linked or has led.  Work is linear in a bucket's size for each leader,
-   never the square of it.
+3. A band's key joins the minima of its bins.  In a band bucket some members
+   lead: each leader is compared with all members that verified links don't
+   join to it yet, and then leaves the bucket.  A bucket is done when links join
+   what is left of it.  The first round has one leader a bucket, later ones
+   ``GROWTH`` times as many as the one before, from the bucket's largest
+   component first, whose members its few others mostly find a link to.  Jaccard
+   distance is a metric: two members whose distances to the bucket's first
+   leader differ by more than a link's are no link, without a comparison.  So of two
+   lines that meet in a band it's always known whether links join them.
 4. The exact Jaccard similarity decides each link; union-find joins them.
 5. Of a component's lines, over all documents, the first one stays: smallest
    doc_id (nulls first), then smallest line number.
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from .common import release, remove, row_key, scan_tasks, stored
 from .graph import components
@@ -37,8 +41,8 @@ THRESHOLD, WIDTH, BANDS, ROWS = 0.8, 8, 10, 4
 #: Rows of two numbers up to which a table is broadcast, after its rows have been counted (about 16 MB).
 BROADCAST_ROWS = 500_000
 
-#: Buckets of up to this many members compare all of them when their first leader leaves some unlinked.
-SMALL_BUCKET = 16
+#: Leaders of a bucket in a round for each of the round before.
+GROWTH = 8
 
 #: Pairs whose shingles a task counts at a time.
 PAIRS_A_TASK = 500
@@ -81,7 +85,7 @@ def _band_rows(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFr
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(a, b, linked) for the (a, b) of ``pairs``; ``texts`` has (h, line).
+    """(a, b, away, linked) for the (a, b) of ``pairs``; ``texts`` has (h, line); away is the Jaccard distance.
 
     Shingles are compared as arrays of 64-bit hashes, whose distinct values and
     common values Spark finds in hash sets.  As the work comes only after the
@@ -93,7 +97,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float)
     sets = [F.expr(f"array_distinct(transform(sequence(1, n_{e}), i -> xxhash64(substring(raw_{e}, 2 * i - 1, {2 * width}))))").alias(f"set_{e}") for e in "ab"]
     sets = both.select("a", "b", *sets)
     counted = sets.select("a", "b", F.expr("size(set_a) + size(set_b)").alias("total"), F.size(F.array_intersect("set_a", "set_b")).alias("both"))
-    return counted.select("a", "b", (F.col("both") >= threshold * (F.col("total") - F.col("both")) - 1e-9).alias("linked"))
+    return counted.select("a", "b", F.expr("1 - both / (total - both)").alias("away"), (F.col("both") >= threshold * (F.col("total") - F.col("both")) - 1e-9).alias("linked"))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -104,46 +108,49 @@ def _small(df: DataFrame) -> DataFrame:
 def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Verified links (a, b) between the hashes of distinct near-copy lines; ``lines`` has (h, line)."""
     spark = lines.sparkSession
-    every = stored(_band_rows(lines.select("h", "line").dropDuplicates(["h"]), width, bands, rows), "bands")
+    rows_of = stored(_band_rows(lines.select("h", "line").dropDuplicates(["h"]), width, bands, rows), "bands")
     release(spark)
+    members = rows_of.select("band", "h", F.col("h").alias("root"), F.lit(0.0).alias("away"))
     links: list[DataFrame] = []
-    open_rows = every
+    done: DataFrame | None = None
+    lead = 1
     while True:
-        sizes = open_rows.groupBy("band").agg(F.min("h").alias("a"), F.count("*").alias("n")).where("n > 1")
-        rest = stored(open_rows.join(sizes, "band"), "rivals")
-        if rest.isEmpty():
+        sizes = members.groupBy("band").agg(F.min("h").alias("first"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        rivals = stored(members.join(sizes.select("band", "first"), "band"), "rivals")
+        if rivals.isEmpty():
             break
-        followers = rest.where("h <> a")
-        if links:
-            followers = followers.where(F.col("n") > SMALL_BUCKET)
-        pairs = followers.select("a", F.col("h").alias("b"))
-        if links:
-            small = rest.where(F.col("n") <= SMALL_BUCKET).groupBy("band").agg(F.sort_array(F.collect_set("h")).alias("hs"))
-            small = small.select("hs", F.posexplode("hs").alias("i", "a")).select("a", F.explode(F.expr("slice(hs, i + 2, size(hs))")).alias("b"))
-            pairs = pairs.unionByName(small)
-        pairs = stored(pairs.distinct(), "pairs")
+        leaders = rivals.where("h = first")
+        if done is not None:
+            parts = rivals.groupBy("band", "root").agg(F.count("*").alias("n"))
+            place = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n"), "root", "h"))
+            leaders = rivals.join(parts, ["band", "root"]).withColumn("place", place).where(F.col("place") <= lead)
+        leaders = stored(leaders.select("band", F.col("h").alias("leader"), F.col("root").alias("leads"), F.col("away").alias("leads_away")), "leaders")
+        pairs = rivals.join(leaders, "band").where((F.col("root") != F.col("leads")) & (F.abs(F.col("away") - F.col("leads_away")) <= 1 - threshold + 1e-9))
+        pairs = pairs.select(F.least("h", "leader").alias("a"), F.greatest("h", "leader").alias("b")).distinct()
+        if done is not None:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
         ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "ends")
         texts = lines.select("h", "line").join(_small(ends), "h", "left_semi").dropDuplicates(["h"])
         checked = stored(_verified(pairs, texts, width, threshold), "checked")
         release(spark)
         links.append(checked.where("linked").select("a", "b"))
-        failed = checked.where("not linked").select("a", F.col("b").alias("h"))
-        open_rows = followers.join(failed, ["a", "h"]).select("band", "h")
+        done = checked.select("a", "b") if done is None else done.unionByName(checked.select("a", "b"))
+        rest = rivals.join(leaders.select("band", F.col("leader").alias("h")), ["band", "h"], "left_anti")
         if len(links) == 1:
-            # Near copies in a large bucket share other bands as well, chance neighbours don't.
-            counted = open_rows.groupBy("band").agg(F.count("*").alias("n"))
-            sized = stored(open_rows.join(counted, "band"), "open")
-            large = sized.where(F.col("n") > SMALL_BUCKET).select("band", "h")
-            split = large.join(every.withColumnRenamed("band", "other"), "h").where("band <> other")
-            open_rows = sized.where(F.col("n") <= SMALL_BUCKET).select("band", "h").unionByName(split.select(F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band"), "h").distinct())
-        open_rows = stored(open_rows, "open")
-        remove(spark, pairs, ends, rest)
-    if not links:
-        return spark.createDataFrame([], "a long, b long")
-    out = links[0]
-    for more in links[1:]:
+            rest = rest.drop("away").join(checked.select(F.col("a").alias("first"), F.col("b").alias("h"), "away"), ["first", "h"])
+        root = components(_union(links)).select(F.col("id").alias("h"), F.col("component_id").alias("root"))
+        members = stored(rest.drop("root").join(root, "h", "left").select("band", "h", F.coalesce("root", "h").alias("root"), "away"), "members")
+        remove(spark, pairs, ends, rivals, leaders)
+        lead *= GROWTH
+    return _union(links) if links else spark.createDataFrame([], "a long, b long")
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
         out = out.unionByName(more)
-    return out.distinct()
+    return out
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -9,7 +9,7 @@ import xxhash
 
 from statuta.llm.embedding_dedup import near_vectors
 from statuta.llm.graph import components
-from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_rows, dedup_lines
+from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_rows, dedup_lines, line_links
 from statuta.llm.simhash import GrayTree, dedup_simhash, fingerprints, gray_rank, hexed, simhash_groups
 from statuta.llm.substring_dedup import dedup_substrings, kept_digest
 
@@ -215,3 +215,26 @@ def test_short_and_repetitive_near_copies_meet(spark):
     for times in (5, 20):
         assert met(spark, [(x * times, x * times + ".") for x in (line(120) for _ in range(40))]) == 1
     assert met(spark, [("aaaaaaaa", "aaaaaaaaaaaa"), ("short", "short")]) == 1
+
+
+def test_every_pair_that_meets_is_linked_or_compared(spark):
+    """Links join what the verified pairs of all band buckets join, whoever leads them."""
+    rng = random.Random(21)
+    lines = []
+    for _ in range(40):
+        words = sentence(rng, 30).split(" ")
+        # A chain: neighbours are near copies, lines further apart meet in bands as well and are none.
+        for _ in range(25):
+            words[rng.randrange(len(words))] = sentence(rng, 1)
+            lines.append(" ".join(words))
+    lines = sorted(set(lines))
+    table = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    buckets = {}
+    for r in _band_rows(table, WIDTH, BANDS, ROWS).collect():
+        buckets.setdefault(r.band, []).append(r.h)
+    sets = [shingles(x) for x in lines]
+    pairs = {(a, b) for hs in buckets.values() for a in hs for b in hs if a < b}
+    near = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    links = [(r.a, r.b) for r in line_links(table).collect()]
+    assert set(links) <= set(near) and max(map(len, buckets.values())) > 4
+    assert closed(range(len(lines)), links) == closed(range(len(lines)), near)
