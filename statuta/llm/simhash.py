@@ -218,24 +218,44 @@ def simhash_groups(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     the component of its fingerprint but is never its smallest.
     """
     marked = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fingerprinted, "doc_id long, fp long"), "fingerprints")
+    per_fp = _rooted(marked, distance).select("fp", "component_id")
+    return marked.join(per_fp, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+
+
+def _rooted(marked: DataFrame, distance: int) -> DataFrame:
+    """(fp, root, component_id) per distinct fingerprint of ``marked`` (doc_id, fp); the root is a fingerprint of the component."""
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     joined = components(fingerprint_links(distinct, distance)).withColumnRenamed("id", "fp")
     rooted = distinct.join(joined, "fp", "left").select("fp", "low", F.coalesce("component_id", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    per_fp = rooted.join(smallest, "root").select("fp", "component_id")
-    return marked.join(per_fp, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def hexed(groups: DataFrame) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _keyed(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batch_iter:
+        fp = fingerprints(batch.column("text").to_pylist())
+        names = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(fp.view(np.int64))], [*names, "fp"])
+
+
 def dedup_simhash(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group; of rows with that doc_id one stays.
+    """One row of ``docs`` for each group: of those with the smallest doc_id the one with the smallest hash of all columns.
 
-    Rows with a null doc_id stay only if no row of their group has an id; of
-    several such rows of a group one stays.  Columns pass through unchanged.
+    A row with a null doc_id stays only if no row of its group has an id.  Rows
+    of other groups stay whatever their doc_id.  Columns pass through unchanged.
     """
-    groups = simhash_groups(docs, distance).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(groups, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns)
+    # Map columns have no hash; their JSON stands for them.
+    key = F.struct(*[F.col(c) for c in docs.columns])
+    digest = F.sha2(F.to_json(key, {"ignoreNullFields": "false"}), 256)
+    placed = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("doc_id"), digest.alias("digest"))
+    # A written table: the rows' place in it tells equal rows apart.
+    held = stored(docs.withColumn("__place", placed).withColumn("__row", F.monotonically_increasing_id()), "rows")
+    thin = held.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("__row").alias("row"), F.col("__place.unnamed").alias("unnamed"), F.col("__place.digest").alias("digest"))
+    marked = stored(thin.mapInArrow(_keyed, "doc_id long, row long, unnamed boolean, digest string, fp long"), "fingerprints")
+    rooted = _rooted(marked, distance).select("fp", "root")
+    first = marked.join(rooted, "fp").groupBy("root").agg(F.min(F.struct("unnamed", "doc_id", "digest", "row")).alias("first"))
+    return held.join(first.select(F.col("first.row").alias("__row")), "__row", "left_semi").select(*docs.columns)

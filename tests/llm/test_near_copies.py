@@ -238,3 +238,12 @@ def test_every_pair_that_meets_is_linked_or_compared(spark):
     links = [(r.a, r.b) for r in line_links(table).collect()]
     assert set(links) <= set(near) and max(map(len, buckets.values())) > 4
     assert closed(range(len(lines)), links) == closed(range(len(lines)), near)
+
+
+def test_simhash_keeps_one_row_of_each_group_with_null_and_shared_ids(spark):
+    rng = random.Random(3)
+    one, two, three, four = (sentence(rng, 80) for _ in range(4))
+    # Two groups share id 5, one has null ids alone, one has both.
+    rows = [(5, one), (9, one), (5, two), (6, two), (None, three), (None, three), (None, four), (8, four), (8, four)]
+    got = dedup_simhash(spark.createDataFrame([(d, t, "x", None) for d, t in rows], SCHEMA)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(5, one), (5, two), (None, three), (8, four)], key=str)
