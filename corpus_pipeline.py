@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of its
 predecessor; the rows of a stage are written as Parquet and read again as the
-next one's docs.  All but the last return the columns of documents.
+next one's docs.  All but the last return the columns of documents; mixing adds
+block, slot and position, which the last stage carries on, as Parquet files that
+are read again keep no order of rows: the mixed order is that of position.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from statuta.llm.pieces import encode_texts
 from statuta.llm.quality import score_quality, train
 from statuta.llm.simhash import dedup_simhash
 
+PLACE = ("block", "slot", "position")
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labels of the training folds."""
@@ -34,13 +38,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, in the order of the mixing schedule."""
-    return mix_sources(docs).orderBy("position").select(*docs.columns)
+    """Every document with its block, slot and position in the mixing schedule, in the order of position."""
+    return mix_sources(docs).orderBy("position").select(*[c for c in docs.columns if c not in PLACE], *PLACE)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
-    return encode_texts(docs).select("doc_id", "source", "n_tokens", "token_ids", "round_trip")
+    """Token ids of every document, whether they decode to its text, and its place in the mix."""
+    return encode_texts(docs).select("doc_id", "source", *PLACE, "n_tokens", "token_ids", "round_trip")
 
 
 STAGES = [
