@@ -6,13 +6,18 @@ Spans are in code points, end exclusive.  Kinds, in the order of ties:
 * access: an access key id of 16 or more characters
 * hex: 32 or more lower-case hex digits
 * entropy: in a candidate (a run of 20 or more base64 or URL characters), the
-  stretch covered by windows whose entropy is at least the limit of their
-  character class (hex: 3.0 bits over 32 characters, alphanumeric: 3.7 over 24, base64: 4.2 over 32).
+  stretches covered by windows whose entropy is at least the limit of a
+  character class (hex: 3.0 bits over 32 characters, alphanumeric: 3.7 over 24,
+  base64: 4.2 over 32), taken in each maximal run of 20 or more characters of
+  that class.  In a shorter run the window is the run and the limit goes
+  down with the logarithm of its length.
 
 Window entropies come from counts that change by one character in and one out.
-Candidates that match the allow-list (UUIDs, repeated or ordered alphabets,
-paths and host names of plain words, capitalised and hyphenated words) give no entropy span; nor
-does one that overlaps a span of another kind.
+Runs that match the allow-list (UUIDs, repeated or ordered alphabets, paths and
+host names of plain words, capitalised and hyphenated words) give no entropy
+span.  Letters alone pass as words if all or few (one and a quarter) of them are
+capitals and, from ``LONG_WORD`` letters on, a quarter are vowels.  Where a span of another
+kind lies, a candidate ends; what is left of it on both sides is judged.
 """
 
 from __future__ import annotations
@@ -32,22 +37,39 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 
-#: Per character class: its members beyond which the next class applies, window length and least entropy in bits.
-CLASSES = (("hex", re.compile(r"[0-9a-fA-F]+"), 32, 3.0), ("alnum", re.compile(r"[A-Za-z0-9]+"), 24, 3.7), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 32, 4.2))
+#: Per character class: its runs, window length and least entropy in bits.
+CLASSES = (("hex", re.compile(r"[0-9a-fA-F]{20,}"), 32, 3.0), ("alnum", re.compile(r"[A-Za-z0-9]{20,}"), 24, 3.7), ("base64", _CANDIDATE, 32, 4.2))
 
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"[A-Za-z]+"),
     re.compile(r"[0-9_=+/-]+"),
-    re.compile(r"/?([A-Za-z]+[0-9]{0,4}[-_/=+]+)*[A-Za-z]*[0-9]{0,4}/?"),
     re.compile(r"(.)\1*"),
     re.compile(r"(.{1,8}?)\1{2,}.{0,8}"),
 )
 
+_WORDS = re.compile(r"/?([A-Za-z]+[0-9]{0,4}[-_/=+]+)*[A-Za-z]*[0-9]{0,4}/?")
+_LETTERS = re.compile(r"[A-Za-z]+")
+LONG_WORD = 16
+
+
+def _allowed(run: str) -> bool:
+    if any(p.fullmatch(run) for p in ALLOWED):
+        return True
+    if not _WORDS.fullmatch(run):
+        return False
+    return all(_is_word(w) for w in _LETTERS.findall(run))
+
+
+def _is_word(w: str) -> bool:
+    capitals = sum(c.isupper() for c in w)
+    return (capitals == len(w) or 4 * (capitals - 1) <= len(w)) and (len(w) < LONG_WORD or 4 * sum(w.lower().count(v) for v in "aeiouy") >= len(w))
+
 
 def _entropy_windows(text: str, size: int, least: float) -> list[tuple[int, int]]:
-    """The stretches of ``text`` covered by windows of ``size`` characters (all, if shorter) with that entropy."""
-    size = min(size, len(text))
+    """The stretches of ``text`` covered by windows of ``size`` characters with that entropy (if shorter: all of it, and a limit for its length)."""
+    if len(text) < size:
+        least *= math.log2(len(text)) / math.log2(size)
+        size = len(text)
     log = [0.0] + [n * math.log2(n) for n in range(1, size + 1)]
     count: dict[str, int] = {}
     total = 0.0
@@ -70,6 +92,24 @@ def _entropy_windows(text: str, size: int, least: float) -> list[tuple[int, int]
     return out
 
 
+def _high(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The stretches of high entropy, of any class, of the part of a candidate from ``start`` to ``end``."""
+    if end - start < 20 or _allowed(text[start:end]):
+        return []
+    every = []
+    for _, runs, size, least in CLASSES:
+        for m in runs.finditer(text, start, end):
+            if not _allowed(m[0]):
+                every += [(m.start() + a, m.start() + b) for a, b in _entropy_windows(m[0], size, least)]
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(every):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def spans_of(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind as an index of KINDS, end), sorted."""
     if not text:
@@ -78,13 +118,19 @@ def spans_of(text: str | None) -> list[tuple[int, int, int]]:
     out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16] if "AKIA" in text else []
     out += [(m.start(), 2, m.end()) for m in _LONG_HEX.finditer(text)]
     base = sorted(out)
+    at = 0
     for m in _CANDIDATE.finditer(text):
-        word = m[0]
-        # Letters alone can't be told from a long word; an allow-listed candidate is skipped whole.
-        if any(p.fullmatch(word) for p in ALLOWED) or any(a < m.end() and m.start() < b for a, _, b in base):
-            continue
-        _, _, size, least = next(c for c in CLASSES if c[1].fullmatch(word))
-        out += [(m.start() + a, 3, m.start() + b) for a, b in _entropy_windows(word, size, least)]
+        start, found = m.start(), []
+        # Base spans are sorted by start; those that end before a candidate don't meet a later one either.
+        while at < len(base) and base[at][2] <= start:
+            at += 1
+        for a, _, b in [*base[at:], (m.end(), 0, m.end())] if at < len(base) else [(m.end(), 0, m.end())]:
+            if a > start:
+                found += _high(text, start, min(a, m.end()))
+            start = max(start, b)
+            if a >= m.end():
+                break
+        out += [(a, 3, b) for a, b in found]
     return sorted(out)
 
 
