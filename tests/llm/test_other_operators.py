@@ -212,3 +212,15 @@ def test_secrets_joined_to_names_short_ones_and_beside_other_spans():
     assert [k for _, k, _ in spans_of(text)] == [1, 3] and spans_of(text)[1][0] >= 20
     for word in ("Rechtsschutzversicherungsgesellschaften", "internationalization", "getDocumentByIdentifierOrName", "ACKNOWLEDGEMENTSANDREFERENCES", "docs/section-12/Introduction-and-Overview", "id=123e4567-e89b-12d3-a456-426614174000"):
         assert not spans_of(word)
+
+
+def test_fixed_texts_are_counted_over_all_pages_and_whole_pages(spark):
+    # A text that is equal on many pages of a host, but not on nearly all, is no boilerplate; a fixed text far down is.
+    body = lambda n: "".join(f"<p>paragraph {n} {k}</p>" for k in range(2500 if n < 20 else 3))
+    page = lambda n: f"<body><div class='box'><h1>Title {n}</h1>{body(n)}<p>{'Said often' if n % 4 else f'Said once {n}'}</p></div><div class='end'>All rights reserved</div></body>"
+    rows = [(n, f"https://a.example/{n}", page(n)) for n in range(40)]
+    rows += [(100 + k, f"https://a.example/copy{k}", page(1)) for k in range(200)]
+    got = {r.page_id: r.text.split("\n") for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(40):
+        assert got[n] == [f"Title {n}", *[f"paragraph {n} {k}" for k in range(2500 if n < 20 else 3)], "Said often" if n % 4 else f"Said once {n}"]
+    assert got[100] == got[1]
