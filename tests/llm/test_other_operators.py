@@ -214,6 +214,14 @@ def test_secrets_joined_to_names_short_ones_and_beside_other_spans():
         assert not spans_of(word)
 
 
+def test_regions_named_like_noise_that_hold_the_page_stay():
+    side = "<div class='sidebar'><p>Links</p></div><div id='comments'><p>first</p></div>"
+    assert extract(f"<body><div class='page has-sidebar'><h1>Title</h1><p>One long paragraph of text</p>{side}</div>") == "Title\nOne long paragraph of text"
+    assert extract(f"<body><div class='share social'><article><p>One long paragraph of text</p></article>{side}</div>") == "One long paragraph of text"
+    assert extract("<body><div class='widget-area notice'><p>All the text there is</p></div>") == "All the text there is"
+    assert extract("<body><h1>Title</h1><p>Short.</p><div id='comments'><p>a comment much longer than the text</p></div>") == "Title\nShort."
+
+
 def test_fixed_texts_are_counted_over_all_pages_and_whole_pages(spark):
     # A text that is equal on many pages of a host, but not on nearly all, is no boilerplate; a fixed text far down is.
     body = lambda n: "".join(f"<p>paragraph {n} {k}</p>" for k in range(2500 if n < 20 else 3))
