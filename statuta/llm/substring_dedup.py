@@ -14,6 +14,11 @@ windows have equal fingerprints and neighbours mostly share one.
   them, and the words that a window of a smaller document covers go.
 * ``compact`` merges the runs of each bucket into one.
 
+These need the texts of all documents at once.  ``WindowIndex`` takes batches that come one
+after another: its runs hold each window's 96 bits and smallest doc_id, so that
+``append`` verifies a batch against history without history's texts, at about 20
+bytes a word on disk.
+
 A block holds all rows of about ``BLOCK_ROWS`` documents (by hash of doc_id).  What
 moves is a block's distinct hashes, so one text copied into very many
 documents costs one entry a block.
@@ -22,13 +27,14 @@ documents costs one entry a block.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, release, remove
+from .common import new_path, release, remove, stored
 from .hashing import batches, mixed, spans_hash, words_of
 
 WINDOW, RUN = 13, 6
@@ -136,14 +142,15 @@ def _contains(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[at] == x
 
 
-def _candidates(docs: pd.DataFrame, shared: pd.DataFrame):
-    """Per distinct window of a block with a shared fingerprint: both hashes and the smallest doc_id."""
-    common = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in shared["hashes"]])) if len(shared) else np.zeros(0, np.uint64)
+def _candidates(docs: pd.DataFrame, shared: pd.DataFrame | None):
+    """Per window of a block with a shared fingerprint (None: every window): both hashes and the doc_id."""
+    common = None if shared is None else np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in shared["hashes"]])) if len(shared) else np.zeros(0, np.uint64)
     texts, ids = docs["text"].tolist(), docs["doc_id"].to_numpy()
     out = []
     for a, b in batches(texts):
         first, word, low, starts = _fingerprints(texts[a:b])
-        starts = starts[_contains(common, low)]
+        if common is not None:
+            starts = starts[_contains(common, low)]
         h1, h2 = _window_hashes(word, starts)
         out.append(np.rec.fromarrays([h1, h2, ids[a + _owners(first, starts)].astype(np.int64)], names="h,g,d"))
     return np.concatenate(out) if out else np.rec.fromarrays([np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)], names="h,g,d")
@@ -159,9 +166,9 @@ def _least(h: np.ndarray, g: np.ndarray, d: np.ndarray):
 
 
 def _windows(buckets: int):
-    def run(docs: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+    def run(docs: pd.DataFrame, shared: pd.DataFrame | None) -> pd.DataFrame:
         empty = pd.DataFrame({"bucket": [], "block": [], "h": [], "g": [], "d": []})
-        if not len(docs) or not len(shared):
+        if not len(docs) or shared is not None and not len(shared):
             return empty
         found = _candidates(docs, shared)
         if not len(found):
@@ -190,12 +197,12 @@ def _first_holders(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": blocks.astype(np.int32), "h": [h[p].tobytes() for p in parts], "g": [g[p].tobytes() for p in parts], "d": [low[p].tobytes() for p in parts]})
 
 
-def _resolved(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """doc_id, n_words, n_removed, kept text of a block; ``known`` has its windows' smallest holders elsewhere, and fingerprints."""
+def _resolved(docs: pd.DataFrame, known: pd.DataFrame, every: bool = False) -> pd.DataFrame:
+    """doc_id, n_words, n_removed, kept text of a block; ``known`` has its windows' smallest holders elsewhere, and (unless ``every``) fingerprints."""
     texts, ids = docs["text"].tolist(), docs["doc_id"].to_numpy()
     # "shared" rows carry fingerprints in h and nothing else.
     shared, early = known[known["g"].isna()], known[known["g"].notna()]
-    found = _candidates(docs, pd.DataFrame({"hashes": shared["h"].tolist()}))
+    found = _candidates(docs, None if every else pd.DataFrame({"hashes": shared["h"].tolist()}))
     parts = [(found["h"], found["g"], found["d"])] + [(np.frombuffer(h, np.uint64), np.frombuffer(g, np.uint32), np.frombuffer(d, np.int64)) for h, g, d in zip(early["h"], early["g"], early["d"], strict=True)]
     kh, kg, kd = _least(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
     n_words, n_removed, kept = [], [], []
@@ -286,6 +293,49 @@ class FingerprintIndex:
         self.runs = []
 
 
+_WINDOWS_SCHEMA = "bucket int, block int, h binary, g binary, d binary"
+
+#: Block of the rows of history, which have no texts.
+_HISTORY = -1
+
+
+def _merged_windows(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One bucket's runs as one, each window with its smallest doc_id."""
+    h, g, d = _least(*(np.concatenate([np.frombuffer(x, t) for x in pdf[c]]) for c, t in (("h", np.uint64), ("g", np.uint32), ("d", np.int64))))
+    return pd.DataFrame({"bucket": [int(pdf["bucket"].iat[0])], "block": [_HISTORY], "h": [h.tobytes()], "g": [g.tobytes()], "d": [d.tobytes()]})
+
+
+class WindowIndex(FingerprintIndex):
+    """Runs of window hashes under ``path``: batches are resolved against history as they come."""
+
+    def append(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, n_words, n_removed, kept binary) for the batch ``docs``; its windows become a run.
+
+        A word goes if a window that covers it also starts in a document of this
+        or an earlier batch with a smaller doc_id.  Results of earlier batches stay as
+        they are, so batches whose ids grow get what all documents at once would give.
+        """
+        rows, windows = self.blocked(docs), _windows(self.buckets)
+        run = f"{self.path}/windows-{len(self.runs):05d}-{uuid.uuid4().hex}"
+        rows.groupBy("block").applyInPandas(lambda d: windows(d, None), _WINDOWS_SCHEMA).write.parquet(run)
+        read = self.spark.read.schema(_WINDOWS_SCHEMA)
+        new, old = read.parquet(run), self.runs
+        both = new.unionByName(read.parquet(*old).withColumn("block", F.lit(_HISTORY))) if old else new
+        early = both.groupBy("bucket").applyInPandas(_first_holders, "block int, h binary, g binary, d binary").where(F.col("block") != _HISTORY)
+        out = stored(rows.groupBy("block").cogroup(early.groupBy("block")).applyInPandas(lambda d, k: _resolved(d, k, True) if len(d) else pd.DataFrame({"doc_id": [], "n_words": [], "n_removed": [], "kept": []}), "doc_id long, n_words long, n_removed long, kept binary"), "resolved")
+        self.runs = [*old, run]
+        release(self.spark)
+        return out
+
+    def compact(self) -> None:
+        if len(self.runs) > 1:
+            run = f"{self.path}/merged-{uuid.uuid4().hex}"
+            self.spark.read.schema(_WINDOWS_SCHEMA).parquet(*self.runs).groupBy("bucket").applyInPandas(_merged_windows, _WINDOWS_SCHEMA).write.parquet(run)
+            old, self.runs = self.runs, [run]
+            remove(self.spark, *old)
+            release(self.spark)
+
+
 def dedup_substrings(docs: DataFrame, runs: int = 2, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per row of ``docs`` with a doc_id: doc_id, n_words, n_removed (long), kept (binary: UTF-8 of the words kept, joined by one space).
 

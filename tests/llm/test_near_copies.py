@@ -11,7 +11,7 @@ from statuta.llm.embedding_dedup import near_vectors
 from statuta.llm.graph import components
 from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_rows, dedup_lines, line_links
 from statuta.llm.simhash import GrayTree, dedup_simhash, fingerprints, gray_rank, hexed, simhash_groups
-from statuta.llm.substring_dedup import dedup_substrings, kept_digest
+from statuta.llm.substring_dedup import WindowIndex, dedup_substrings, kept_digest
 
 SCHEMA = "doc_id long, text string, n_removed string, source string"
 SYLLABLES = "ka lo mi tu re so vi na pe do ga hu".split()
@@ -247,3 +247,21 @@ def test_simhash_keeps_one_row_of_each_group_with_null_and_shared_ids(spark):
     rows = [(5, one), (9, one), (5, two), (6, two), (None, three), (None, three), (None, four), (8, four), (8, four)]
     got = dedup_simhash(spark.createDataFrame([(d, t, "x", None) for d, t in rows], SCHEMA)).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(5, one), (5, two), (None, three), (8, four)], key=str)
+
+
+def test_batches_are_resolved_without_the_texts_of_earlier_ones(spark):
+    rng = random.Random(31)
+    passages = [sentence(rng, rng.randint(13, 40)) for _ in range(8)]
+    rows = [(d, " ".join(rng.choice(passages) if rng.random() < 0.5 else sentence(rng, rng.randint(1, 30)) for _ in range(rng.randint(0, 4)))) for d in range(90)]
+    want = {r[0]: r for r in brute_substrings(rows)}
+    index = WindowIndex(spark, 4)
+    for k in range(3):
+        batch = [r for r in rows if r[0] // 30 == k]
+        docs = spark.createDataFrame([(d, t, "x", None) for d, t in batch], SCHEMA)
+        got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in kept_digest(index.append(docs)).collect())
+        assert got == [want[d] for d, _ in batch]
+        if k == 1:
+            index.compact()
+            assert len(index.runs) == 1
+    assert any(want[d][2] for d in range(60, 90))
+    index.drop()
