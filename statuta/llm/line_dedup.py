@@ -10,18 +10,17 @@ near copies if the Jaccard similarity of their shingle sets is at least
    ``bands * rows`` bins and each bin keeps its minimum.  A bin that stays empty
    takes, of the line's minima hashed with the bin's number, the smallest, so
    that every line has all its bands however few shingles it has.
-3. A band's key joins the minima of its bins.  In a band bucket some members
-   lead: each leader is compared with all members that verified links don't
-   join to it yet, and then leaves the bucket.  A bucket is done when links join
-   what is left of it.  The first round has one leader a bucket, later ones
-   ``GROWTH`` times as many as the one before, from the bucket's largest
-   component first, whose members its few others mostly find a link to.  Jaccard
-   distance is a metric: two members whose distances to the bucket's first
-   leader differ by more than a link's are no link, without a comparison.  So of two
-   lines that meet in a band it's always known whether links join them.
-4. The exact Jaccard similarity decides each link; union-find joins them.
-5. Of a component's lines, over all documents, the first one stays: smallest
-   doc_id (nulls first), then smallest line number.
+3. A band's key joins the minima of its bins.  In a band bucket one member
+   leads: the one whose own buckets hold the most lines, as the common ancestor
+   of a group of copies does.  All members are compared with it by exact Jaccard.
+4. Members of a bucket that links don't join yet are held against each other by
+   odd sketches: each shingle of a line flips one of ``64 * WORDS`` bits, so the
+   bits in which two sketches differ are never more than the shingles in which
+   the lines differ.  Pairs whose sketches differ too much are no links; the
+   exact Jaccard similarity decides the others.  So of any two lines that meet
+   in a band it's known whether links join them, whatever the bucket's size.
+5. Union-find joins the links.  Of a component's lines, over all documents, the
+   first one stays: smallest doc_id (nulls first), then smallest line number.
 
 Lines at the threshold meet in a band with probability 1 - (1 - 0.8^4)^10 = 0.99,
 closer ones practically always.
@@ -41,8 +40,8 @@ THRESHOLD, WIDTH, BANDS, ROWS = 0.8, 8, 10, 4
 #: Rows of two numbers up to which a table is broadcast, after its rows have been counted (about 16 MB).
 BROADCAST_ROWS = 500_000
 
-#: Leaders of a bucket in a round for each of the round before.
-GROWTH = 8
+#: 64-bit words of an odd sketch.
+WORDS = 16
 
 #: Pairs whose shingles a task counts at a time.
 PAIRS_A_TASK = 500
@@ -65,8 +64,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     return lines.where(F.trim("line") != "").withColumn("h", F.xxhash64("line"))
 
 
-def _band_rows(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(band, h) for each band of each distinct line; needs no exchange beyond that of ``distinct``.
+def _band_keys(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
+    """(h, keys) with the keys of all bands of each distinct line; needs no exchange beyond that of ``distinct``.
 
     The minima of a line are columns of one row, so that the aggregation holds
     a group for each line, not one for each line and bin.
@@ -81,23 +80,26 @@ def _band_rows(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFr
     # An array of one item binds a name, so that what it stands for is worked out once.
     full = "transform(array(filter(m, x -> x is not null)), held -> transform(m, (x, k) -> coalesce(x, array_min(transform(held, y -> xxhash64(k, y))))))"
     keys = f"transform({full}, d -> transform(sequence(0, {bands - 1}), band -> xxhash64(band, slice(d, band * {rows} + 1, {rows}))))[0]"
-    return least.select(F.explode(F.expr(keys)).alias("band"), "h")
+    return least.select("h", F.expr(keys).alias("keys"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(a, b, away, linked) for the (a, b) of ``pairs``; ``texts`` has (h, line); away is the Jaccard distance.
+def _shingle_set(raw: str, n: str, width: int) -> str:
+    """SQL for the distinct 64-bit hashes of a line's shingles."""
+    return f"array_distinct(transform(sequence(1, {n}), i -> xxhash64(substring({raw}, 2 * i - 1, {2 * width}))))"
+
+
+def _verified(pairs: DataFrame, units: DataFrame, width: int, threshold: float) -> DataFrame:
+    """The links among the (a, b) of ``pairs``; ``units`` has (h, raw, n).
 
     Shingles are compared as arrays of 64-bit hashes, whose distinct values and
     common values Spark finds in hash sets.  As the work comes only after the
     exchange, its partitions are set by the pairs' number.
     """
     tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_tasks(pairs, PAIRS_A_TASK))
-    units = texts.select("h", *_units("line", width))
     both = pairs.join(units.toDF("a", "raw_a", "n_a"), "a").join(units.toDF("b", "raw_b", "n_b"), "b").repartition(tasks, "a", "b")
-    sets = [F.expr(f"array_distinct(transform(sequence(1, n_{e}), i -> xxhash64(substring(raw_{e}, 2 * i - 1, {2 * width}))))").alias(f"set_{e}") for e in "ab"]
-    sets = both.select("a", "b", *sets)
+    sets = both.select("a", "b", *[F.expr(_shingle_set(f"raw_{e}", f"n_{e}", width)).alias(f"set_{e}") for e in "ab"])
     counted = sets.select("a", "b", F.expr("size(set_a) + size(set_b)").alias("total"), F.size(F.array_intersect("set_a", "set_b")).alias("both"))
-    return counted.select("a", "b", F.expr("1 - both / (total - both)").alias("away"), (F.col("both") >= threshold * (F.col("total") - F.col("both")) - 1e-9).alias("linked"))
+    return counted.where(F.col("both") >= threshold * (F.col("total") - F.col("both")) - 1e-9).select("a", "b")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -105,52 +107,51 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _sketches(units: DataFrame, width: int) -> DataFrame:
+    """(h, n, s0, s1, ...): the number of distinct shingles and the odd sketch of each line of ``units`` (h, raw, n)."""
+    tasks = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_tasks(units, PAIRS_A_TASK))
+    sets = units.repartition(tasks, "h").select("h", F.expr(_shingle_set("raw", "n", width)).alias("x"))
+    each = sets.select("h", F.explode("x").alias("x")).select("h", F.expr("shiftleft(1L, cast(x & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(x, 6) % {WORDS} as int)").alias("word"))
+    return each.groupBy("h").agg(F.count("*").cast("int").alias("n"), *[F.bit_xor(F.expr(f"if(word = {k}, bit, 0L)")).alias(f"s{k}") for k in range(WORDS)])
+
+
 def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Verified links (a, b) between the hashes of distinct near-copy lines; ``lines`` has (h, line)."""
+    """Verified links (a, b) that join the hashes of distinct near-copy lines; ``lines`` has (h, line)."""
     spark = lines.sparkSession
-    rows_of = stored(_band_rows(lines.select("h", "line").dropDuplicates(["h"]), width, bands, rows), "bands")
+    keyed = stored(_band_keys(lines.select("h", "line").dropDuplicates(["h"]), width, bands, rows), "bands")
+    release(spark)
+    met = keyed.select("h", F.posexplode("keys").alias("no", "band"))
+    sizes = stored(met.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    rivals = stored(met.join(_small(sizes), "band").select("band", "no", "h", "size"), "rivals")
+    weight = rivals.groupBy("h").agg(F.sum("size").alias("weight"))
+    leaders = rivals.join(weight, "h").groupBy("band").agg(F.min_by("h", F.struct(-F.col("weight"), F.col("h"))).alias("leader"))
+    led = stored(rivals.join(leaders, "band").select("band", "no", "h", "leader", "size"), "led")
+    pairs = stored(led.where("h <> leader").select(F.least("h", "leader").alias("a"), F.greatest("h", "leader").alias("b")).distinct(), "pairs")
+    texts = lines.select("h", "line").join(_small(led.select("h").distinct()), "h", "left_semi").dropDuplicates(["h"])
+    units = stored(texts.select("h", *_units("line", width)), "units")
+    release(spark)
+    links = stored(_verified(pairs, units, width, threshold), "checked")
+    root = components(links).select(F.col("id").alias("h"), F.col("component_id").alias("root"))
+    rooted = led.where("size > 2").join(root, "h", "left").select("band", "no", "h", "leader", F.coalesce("root", "h").alias("root"))
+    split = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.when(F.col("h") == F.col("leader"), F.col("root"))).alias("leads")).where("low < high")
+    apart = stored(rooted.where("h <> leader").join(split.select("band", "leads"), "band"), "apart")
+    few = stored(apart.select("h").distinct(), "few")
+    sketches = _sketches(units.join(_small(few), "h", "left_semi"), width).join(keyed, "h")
+    sketches = stored(sketches.select("h", "n", *[f"s{k}" for k in range(WORDS)], *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(bands)]), "sketches")
+    full = apart.join(sketches, "h")
+    sides = [full.select([F.col(c).alias(f"{c}_{e}") for c in full.columns]) for e in "ab"]
+    # Each pair once: in the first band in which it meets, and from the side that isn't with the leader (of two such: the smaller).
+    first = F.coalesce(*[F.when(F.col(f"k{k}_a") == F.col(f"k{k}_b"), k) for k in range(bands)]) == F.col("no_a")
+    once = (F.col("root_b") == F.col("leads_b")) | (F.col("h_a") < F.col("h_b"))
+    differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(1, WORDS)), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
+    # Lines with n and m shingles of which at least the threshold is common differ in at most this many.
+    near = differ <= (1 - threshold) / (1 + threshold) * (F.col("n_a") + F.col("n_b")) + 1e-6
+    meet = sides[0].where("root_a <> leads_a").join(sides[1], (F.col("band_a") == F.col("band_b")) & (F.col("root_a") != F.col("root_b")) & once & first & near)
+    more = stored(meet.select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")), "more")
+    others = stored(_verified(more, units, width, threshold), "checked")
+    remove(spark, keyed, sizes, rivals, led, pairs, units, apart, few, sketches, more)
     release(spark)
-    members = rows_of.select("band", "h", F.col("h").alias("root"), F.lit(0.0).alias("away"))
-    links: list[DataFrame] = []
-    done: DataFrame | None = None
-    lead = 1
-    while True:
-        sizes = members.groupBy("band").agg(F.min("h").alias("first"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        rivals = stored(members.join(sizes.select("band", "first"), "band"), "rivals")
-        if rivals.isEmpty():
-            break
-        leaders = rivals.where("h = first")
-        if done is not None:
-            parts = rivals.groupBy("band", "root").agg(F.count("*").alias("n"))
-            place = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n"), "root", "h"))
-            leaders = rivals.join(parts, ["band", "root"]).withColumn("place", place).where(F.col("place") <= lead)
-        leaders = stored(leaders.select("band", F.col("h").alias("leader"), F.col("root").alias("leads"), F.col("away").alias("leads_away")), "leaders")
-        pairs = rivals.join(leaders, "band").where((F.col("root") != F.col("leads")) & (F.abs(F.col("away") - F.col("leads_away")) <= 1 - threshold + 1e-9))
-        pairs = pairs.select(F.least("h", "leader").alias("a"), F.greatest("h", "leader").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "ends")
-        texts = lines.select("h", "line").join(_small(ends), "h", "left_semi").dropDuplicates(["h"])
-        checked = stored(_verified(pairs, texts, width, threshold), "checked")
-        release(spark)
-        links.append(checked.where("linked").select("a", "b"))
-        done = checked.select("a", "b") if done is None else done.unionByName(checked.select("a", "b"))
-        rest = rivals.join(leaders.select("band", F.col("leader").alias("h")), ["band", "h"], "left_anti")
-        if len(links) == 1:
-            rest = rest.drop("away").join(checked.select(F.col("a").alias("first"), F.col("b").alias("h"), "away"), ["first", "h"])
-        root = components(_union(links)).select(F.col("id").alias("h"), F.col("component_id").alias("root"))
-        members = stored(rest.drop("root").join(root, "h", "left").select("band", "h", F.coalesce("root", "h").alias("root"), "away"), "members")
-        remove(spark, pairs, ends, rivals, leaders)
-        lead *= GROWTH
-    return _union(links) if links else spark.createDataFrame([], "a long, b long")
-
-
-def _union(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionByName(more)
-    return out
+    return links.unionByName(others)
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -9,7 +9,7 @@ import xxhash
 
 from statuta.llm.embedding_dedup import near_vectors
 from statuta.llm.graph import components
-from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_rows, dedup_lines, line_links
+from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_keys, dedup_lines, line_links
 from statuta.llm.simhash import GrayTree, dedup_simhash, fingerprints, gray_rank, hexed, simhash_groups
 from statuta.llm.substring_dedup import WindowIndex, dedup_substrings, kept_digest
 
@@ -196,10 +196,8 @@ def test_embedding_dedup_matches_brute_force(spark):
 def met(spark, pairs):
     """The share of pairs of lines that meet in a band."""
     lines = sorted({x for p in pairs for x in p})
-    rows = _band_rows(spark.createDataFrame(list(enumerate(lines)), "h long, line string"), WIDTH, BANDS, ROWS).collect()
-    bands = {x: set() for x in lines}
-    for r in rows:
-        bands[lines[r.h]].add(r.band)
+    rows = _band_keys(spark.createDataFrame(list(enumerate(lines)), "h long, line string"), WIDTH, BANDS, ROWS).collect()
+    bands = {lines[r.h]: set(r["keys"]) for r in rows}
     assert all(len(b) == BANDS for b in bands.values())
     return sum(bool(bands[a] & bands[b]) for a, b in pairs) / len(pairs)
 
@@ -230,8 +228,9 @@ def test_every_pair_that_meets_is_linked_or_compared(spark):
     lines = sorted(set(lines))
     table = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
     buckets = {}
-    for r in _band_rows(table, WIDTH, BANDS, ROWS).collect():
-        buckets.setdefault(r.band, []).append(r.h)
+    for r in _band_keys(table, WIDTH, BANDS, ROWS).collect():
+        for band in r["keys"]:
+            buckets.setdefault(band, []).append(r.h)
     sets = [shingles(x) for x in lines]
     pairs = {(a, b) for hs in buckets.values() for a in hs for b in hs if a < b}
     near = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
