@@ -43,7 +43,7 @@ BROADCAST_ROWS = 500_000
 #: 64-bit words of an odd sketch.
 WORDS = 16
 
-#: Pairs whose shingles a task counts at a time.
+#: Pairs, or lines, whose shingles a task counts.
 PAIRS_A_TASK = 500
 
 
@@ -67,39 +67,43 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _band_keys(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """(h, keys) with the keys of all bands of each distinct line; needs no exchange beyond that of ``distinct``.
 
-    The minima of a line are columns of one row, so that the aggregation holds
-    a group for each line, not one for each line and bin.
+    A band's minima are columns of one row: so many that the aggregation holds
+    a group for each band, not for each bin, and so few that its loop is compiled.
     """
-    bins = bands * rows
-    raw = distinct.select("h", *_units("line", width))
-    each = raw.select("h", "raw", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
-    each = each.select("h", F.xxhash64(F.expr(f"substring(raw, 2 * i - 1, {2 * width})")).alias("x"))
-    each = each.select("h", F.shiftrightunsigned("x", 33).alias("v"), F.expr(f"cast((x & 4294967295) % {bins} as int)").alias("bin"))
-    least = each.groupBy("h").agg(*[F.min(F.expr(f"if(bin = {k}, v, null)")).alias(f"m{k}") for k in range(bins)])
-    least = least.select("h", F.array(*[f"m{k}" for k in range(bins)]).alias("m"))
+    each = _shingles(distinct.select("h", *_units("line", width)), width, "h")
+    each = each.select("h", F.shiftrightunsigned("x", 33).alias("v"), F.expr(f"cast((x & 4294967295) % {bands * rows} as int)").alias("bin"))
+    each = each.select("h", "v", F.expr(f"bin div {rows}").cast("int").alias("band"), F.expr(f"bin % {rows}").alias("row"))
+    least = each.groupBy("h", "band").agg(*[F.min(F.expr(f"if(row = {k}, v, null)")).alias(f"m{k}") for k in range(rows)])
+    of = least.groupBy("h").agg(F.collect_list(F.struct("band", F.array(*[f"m{k}" for k in range(rows)]).alias("m"))).alias("of"))
+    some = of.select("h", F.expr("map_from_entries(of)").alias("of")).select("h", F.expr(f"flatten(transform(sequence(0, {bands - 1}), band -> coalesce(of[band], array_repeat(cast(null as bigint), {rows}))))").alias("m"))
     # An array of one item binds a name, so that what it stands for is worked out once.
     full = "transform(array(filter(m, x -> x is not null)), held -> transform(m, (x, k) -> coalesce(x, array_min(transform(held, y -> xxhash64(k, y))))))"
     keys = f"transform({full}, d -> transform(sequence(0, {bands - 1}), band -> xxhash64(band, slice(d, band * {rows} + 1, {rows}))))[0]"
-    return least.select("h", F.expr(keys).alias("keys"))
+    return some.select("h", F.expr(keys).alias("keys"))
 
 
-def _shingle_set(raw: str, n: str, width: int) -> str:
-    """SQL for the distinct 64-bit hashes of a line's shingles."""
-    return f"array_distinct(transform(sequence(1, {n}), i -> xxhash64(substring({raw}, 2 * i - 1, {2 * width}))))"
+def _shingles(lines: DataFrame, width: int, *keys: str) -> DataFrame:
+    """(*keys, x): a row with the 64-bit hash of each shingle of ``lines`` (*keys, raw, n), in compiled code.
+
+    An inner explode would add a filter that moves below exchanges; n is 1 at least.
+    """
+    each = lines.select(*keys, "raw", F.explode_outer(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    return each.select(*keys, F.xxhash64(F.expr(f"substring(raw, 2 * i - 1, {2 * width})")).alias("x"))
 
 
 def _verified(pairs: DataFrame, units: DataFrame, width: int, threshold: float) -> DataFrame:
     """The links among the (a, b) of ``pairs``; ``units`` has (h, raw, n).
 
-    Shingles are compared as arrays of 64-bit hashes, whose distinct values and
-    common values Spark finds in hash sets.  As the work comes only after the
-    exchange, its partitions are set by the pairs' number.
+    All shingles of a pair are counted where the exchange puts the pair, so the
+    exchange's partitions are set by the pairs' number.
     """
     tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_tasks(pairs, PAIRS_A_TASK))
     both = pairs.join(units.toDF("a", "raw_a", "n_a"), "a").join(units.toDF("b", "raw_b", "n_b"), "b").repartition(tasks, "a", "b")
-    sets = both.select("a", "b", *[F.expr(_shingle_set(f"raw_{e}", f"n_{e}", width)).alias(f"set_{e}") for e in "ab"])
-    counted = sets.select("a", "b", F.expr("size(set_a) + size(set_b)").alias("total"), F.size(F.array_intersect("set_a", "set_b")).alias("both"))
-    return counted.where(F.col("both") >= threshold * (F.col("total") - F.col("both")) - 1e-9).select("a", "b")
+    ends = F.array(*[F.struct(F.col(f"raw_{e}").alias("raw"), F.col(f"n_{e}").alias("n"), F.lit(bit).alias("side")) for e, bit in (("a", 1), ("b", 2))])
+    ends = both.select("a", "b", F.explode_outer(ends).alias("end")).select("a", "b", "end.*")
+    held = _shingles(ends, width, "a", "b", "side").groupBy("a", "b", "x").agg(F.bit_or("side").alias("sides"))
+    counted = held.groupBy("a", "b").agg(F.count("*").alias("either"), F.count(F.when(F.col("sides") == 3, 1)).alias("both"))
+    return stored(counted.where(F.col("both") >= threshold * F.col("either") - 1e-9).select("a", "b"), "checked")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -110,8 +114,8 @@ def _small(df: DataFrame) -> DataFrame:
 def _sketches(units: DataFrame, width: int) -> DataFrame:
     """(h, n, s0, s1, ...): the number of distinct shingles and the odd sketch of each line of ``units`` (h, raw, n)."""
     tasks = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_tasks(units, PAIRS_A_TASK))
-    sets = units.repartition(tasks, "h").select("h", F.expr(_shingle_set("raw", "n", width)).alias("x"))
-    each = sets.select("h", F.explode("x").alias("x")).select("h", F.expr("shiftleft(1L, cast(x & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(x, 6) % {WORDS} as int)").alias("word"))
+    sets = _shingles(units.repartition(tasks, "h"), width, "h").distinct()
+    each = sets.select("h", F.expr("shiftleft(1L, cast(x & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(x, 6) % {WORDS} as int)").alias("word"))
     return each.groupBy("h").agg(F.count("*").cast("int").alias("n"), *[F.bit_xor(F.expr(f"if(word = {k}, bit, 0L)")).alias(f"s{k}") for k in range(WORDS)])
 
 
@@ -130,7 +134,7 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
     texts = lines.select("h", "line").join(_small(led.select("h").distinct()), "h", "left_semi").dropDuplicates(["h"])
     units = stored(texts.select("h", *_units("line", width)), "units")
     release(spark)
-    links = stored(_verified(pairs, units, width, threshold), "checked")
+    links = _verified(pairs, units, width, threshold)
     root = components(links).select(F.col("id").alias("h"), F.col("component_id").alias("root"))
     rooted = led.where("size > 2").join(root, "h", "left").select("band", "no", "h", "leader", F.coalesce("root", "h").alias("root"))
     split = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.when(F.col("h") == F.col("leader"), F.col("root"))).alias("leads")).where("low < high")
@@ -148,7 +152,7 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
     near = differ <= (1 - threshold) / (1 + threshold) * (F.col("n_a") + F.col("n_b")) + 1e-6
     meet = sides[0].where("root_a <> leads_a").join(sides[1], (F.col("band_a") == F.col("band_b")) & (F.col("root_a") != F.col("root_b")) & once & first & near)
     more = stored(meet.select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")), "more")
-    others = stored(_verified(more, units, width, threshold), "checked")
+    others = _verified(more, units, width, threshold)
     remove(spark, keyed, sizes, rivals, led, pairs, units, apart, few, sketches, more)
     release(spark)
     return links.unionByName(others)
