@@ -1,15 +1,19 @@
 """SimHash near-dedup with a hierarchical index in Gray order.
 
-Distinct fingerprints are sorted by Gray rank, so that neighbours differ in few
-bits, and cut into pages.  A page's node holds the bits on which all its
-fingerprints agree (mask and pattern); an upper node holds what its children
-share, and the children keep only the bits they add.  A search carries the
-differences so far down the tree and drops a whole group once they exceed the
-limit.  Inside a page the same is done for small groups, and what is left is
-compared exactly.
-
-The directory has at most ``MOST_PAGES`` nodes whatever the input; pages grow
-instead.  Links leave a page as one row per linked fingerprint.
+Two fingerprints within ``distance`` bits agree in one of ``distance + 1`` parts
+of their bits.  Each distinct fingerprint therefore goes to that many parts, and
+only those that share a part's bits with another one go on: the copies grow with
+the input and not with the number of pages.  Where more than a page of
+fingerprints share a part, the bits that are left are cut in as many parts
+again, ``LEVELS`` times at most, after which so few bits are free that a page is
+bounded.
+
+A page is sorted by part and Gray rank, so that neighbours differ in few bits.
+A node holds the bits on which all its fingerprints agree (mask and pattern); an
+upper node holds what its children share, and the children keep only the bits
+they add.  A search carries the differences so far down the tree and drops a
+whole group once they exceed the limit; what is left is compared exactly.
+Links leave a page as one row per linked fingerprint.
 """
 
 from __future__ import annotations
@@ -23,12 +27,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import scan_tasks, stored
 from .graph import components
 from .hashing import batches, words_of
 
 DISTANCE, SHINGLE, SEED = 2, 3, 42
-PAGE, MOST_PAGES, GROUP = 8192, 4096, 32
+PAGE, GROUP = 8192, 32
+
+#: Times that the bits are cut in parts: for distance 2, 64 bits leave 43, 29 and 20 free.
+LEVELS = 3
+
+#: Links that a page holds before they are cut down to a spanning forest.
+HELD_LINKS = 4_000_000
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -138,75 +148,74 @@ def _smallest_linked(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 def _page_links(distance: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        fp, home = pdf["fp"].to_numpy().view(np.uint64), pdf["home"].to_numpy()
-        member = np.flatnonzero(home)
-        if not len(member):
-            return pd.DataFrame({"a": [], "b": []})
-        member = member[np.argsort(gray_rank(fp[member]))]
-        values = fp[member]
-        cut = np.arange(0, len(values), GROUP)
-        both, any_ = np.bitwise_and.reduceat(values, cut), np.bitwise_or.reduceat(values, cut)
+        fp, part, key = (pdf[c].to_numpy() for c in ("fp", "part", "key"))
+        fp = fp.view(np.uint64)
+        order = np.lexsort((gray_rank(fp), key, part))
+        fp = fp[order]
+        cut = np.arange(0, len(fp), GROUP)
+        both, any_ = np.bitwise_and.reduceat(fp, cut), np.bitwise_or.reduceat(fp, cut)
         tree = GrayTree(~(both ^ any_), both)
-        found_i, found_j = [], []
-        for lo in range(0, len(fp), 4096):
-            i, leaf = tree.search(fp[lo : lo + 4096], distance)
+        at_i, at_j = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for lo in range(0, len(fp), 1024):
+            i, leaf = tree.search(fp[lo : lo + 1024], distance)
             at = leaf[:, None] * GROUP + np.arange(GROUP)
-            real = at < len(values)
-            i, at = np.repeat(i, GROUP).reshape(-1, GROUP)[real] + lo, at[real]
-            ok = np.bitwise_count(fp[i] ^ values[at]) <= distance
-            i, at = i[ok], member[at[ok]]
-            other = i != at
-            found_i.append(i[other])
-            found_j.append(at[other])
-        i, j = np.concatenate(found_i), np.concatenate(found_j)
-        low = _smallest_linked(len(fp), i, j)
-        linked = np.flatnonzero(low != np.arange(len(fp)))
+            i = np.broadcast_to(i[:, None] + lo, at.shape)
+            # Each pair once, from its later end.
+            real = at < i
+            i, at = i[real], at[real]
+            ok = np.bitwise_count(fp[i] ^ fp[at]) <= distance
+            at_i, at_j = np.concatenate([at_i, i[ok]]), np.concatenate([at_j, at[ok]])
+            if len(at_i) > HELD_LINKS:
+                low = _smallest_linked(len(fp), at_i, at_j)
+                at_i = np.flatnonzero(low != np.arange(len(fp)))
+                at_j = low[at_i]
+        low = _smallest_linked(len(fp), at_i, at_j)
+        linked = np.flatnonzero(fp != fp[low])  # a fingerprint may stand in several parts of a page
         signed = fp.view(np.int64)
         return pd.DataFrame({"a": signed[linked], "b": signed[low[linked]]})
     return run
 
 
-def fingerprint_links(fps: DataFrame, distance: int = DISTANCE, page: int = PAGE) -> DataFrame:
+def part_masks(parts: int, level: int) -> list[int]:
+    """Masks of the bits that agree after ``level`` cuts, each cut dealing the free bits to ``parts`` runs."""
+    masks = [0]
+    for _ in range(level):
+        finer = []
+        for mask in masks:
+            free = [k for k in range(64) if not mask >> k & 1]
+            edges = [len(free) * p // parts for p in range(parts + 1)]
+            finer += [mask | sum(1 << k for k in free[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
+        masks = finer
+    return masks
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def fingerprint_links(fps: DataFrame, distance: int = DISTANCE, page: int = PAGE, levels: int = LEVELS) -> DataFrame:
     """Links (a, b) that join all distinct fingerprints ``fp`` (long) within ``distance`` bits of one another."""
-    n = fps.count()
-    pages = max(1, min(MOST_PAGES, -(-n // page)))
-    ranked = fps.select("fp", F.col("fp").alias("g"))
-    for k in (1, 2, 4, 8, 16, 32):
-        ranked = ranked.withColumn("g", F.expr(f"g ^ shiftrightunsigned(g, {k})"))
-    # Signed comparison after flipping the top bit orders unsigned ranks.
-    ranked = ranked.withColumn("g", F.expr("g ^ shiftleft(1L, 63)"))
-    if pages > 1:
-        bounds = ranked.select(F.percentile_approx("g", [k / pages for k in range(1, pages)], 20 * pages)).first()[0]
-    else:
-        bounds = []
-    bounds = np.unique(np.asarray(bounds, np.int64))
-
-    def route(masks: np.ndarray, patterns: np.ndarray):
-        def run(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tree = GrayTree(masks, patterns)
-            for batch in batch_iter:
-                fp = batch.column("fp").to_numpy().view(np.uint64)
-                rank_of = (gray_rank(fp) ^ np.uint64(1 << 63)).view(np.int64)
-                home = np.searchsorted(bounds, rank_of, side="right")
-                for lo in range(0, len(fp), 2048):
-                    f, h = fp[lo : lo + 2048], home[lo : lo + 2048]
-                    i, leaf = tree.search(f, distance)
-                    yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), pa.array(f[i].view(np.int64)), pa.array(h[i] == leaf)], ["page", "fp", "home"])
-        return run
-
-    def paged(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batch_iter:
-            home = np.searchsorted(bounds, batch.column("g").to_numpy(), side="right")
-            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(home.astype(np.int32))], ["fp", "page"])
-
-    homes = ranked.mapInArrow(paged, "fp long, page int")
-    nodes = homes.groupBy("page").agg(F.bit_and("fp").alias("all"), F.bit_or("fp").alias("any")).collect()  # at most MOST_PAGES rows
-    masks, patterns = np.zeros(len(bounds) + 1, np.uint64), np.zeros(len(bounds) + 1, np.uint64)
-    for r in nodes:
-        both, any_ = np.uint64(r["all"] & (1 << 64) - 1), np.uint64(r["any"] & (1 << 64) - 1)
-        masks[r["page"]], patterns[r["page"]] = ~(both ^ any_), both
-    routed = fps.select("fp").mapInArrow(route(masks, patterns), "page int, fp long, home boolean")
-    return routed.groupBy("page").applyInPandas(_page_links(distance), "a long, b long")
+    parts = distance + 1
+    rows = fps.select("fp", F.lit(0).alias("part"))
+    found: list[DataFrame] = []
+    for level in range(1, levels + 1):
+        masks = F.array(*[F.lit(_signed(m)) for m in part_masks(parts, level)])
+        # Part p of a level is cut into the parts p * parts, p * parts + 1, ... of the next.
+        cut = rows.select("fp", F.explode(F.sequence(F.col("part") * parts, F.col("part") * parts + parts - 1)).alias("part"))
+        keyed = cut.select("fp", "part", F.col("fp").bitwiseAND(F.get(masks, "part")).alias("key"))
+        shared = keyed.groupBy("part", "key").agg(F.count("*").alias("n")).where("n > 1")
+        met = stored(keyed.join(shared, ["part", "key"]), "parts")
+        tame = met if level == levels else met.where(F.col("n") <= page)
+        pages = scan_tasks(tame, page)
+        dealt = tame.withColumn("page", F.expr(f"pmod(xxhash64(part, key), {pages})"))
+        found.append(dealt.groupBy("page").applyInPandas(_page_links(distance), "a long, b long"))
+        rows = met.where(F.col("n") > page).select("fp", "part")
+        if level == levels or rows.isEmpty():
+            break
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    return links
 
 
 def simhash_groups(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from statuta.llm.embedding_dedup import near_vectors
 from statuta.llm.graph import components
 from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_keys, dedup_lines, line_links
-from statuta.llm.simhash import GrayTree, dedup_simhash, fingerprints, gray_rank, hexed, simhash_groups
+from statuta.llm.simhash import GrayTree, dedup_simhash, fingerprint_links, fingerprints, gray_rank, hexed, part_masks, simhash_groups
 from statuta.llm.substring_dedup import WindowIndex, dedup_substrings, kept_digest
 
 SCHEMA = "doc_id long, text string, n_removed string, source string"
@@ -168,6 +168,26 @@ def test_gray_tree_loses_nothing():
     assert found == set(zip(*(x.tolist() for x in np.nonzero(near))))
 
 
+def test_parts_of_fingerprints_lose_no_link(spark):
+    """A group around one fingerprint that overfills its parts at every level, and scattered pairs."""
+    rng = random.Random(17)
+    flip = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(64), n))
+    centre = rng.getrandbits(64)
+    values = {centre, *(flip(centre, rng.choice([1, 2, 3, 4])) for _ in range(300)), *(flip(centre, 12) for _ in range(100))}
+    for _ in range(200):
+        x = rng.getrandbits(64)
+        values |= {x, flip(x, 2), flip(x, 3)}
+    values = sorted(values)
+    fps = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp long")
+    want = closed(range(len(values)), [(i, j) for i in range(len(values)) for j in range(i) if (values[i] ^ values[j]).bit_count() <= 2])
+    place = {v: i for i, v in enumerate(values)}
+    for page in (5, 8192):
+        links = [(place[r.a % (1 << 64)], place[r.b % (1 << 64)]) for r in fingerprint_links(fps, page=page).collect()]
+        assert closed(range(len(values)), links) == want
+    assert [len(part_masks(3, k)) for k in (1, 2, 3)] == [3, 9, 27]
+    assert max(64 - m.bit_count() for m in part_masks(3, 3)) <= 20
+
+
 def test_embedding_dedup_matches_brute_force(spark):
     rng = np.random.default_rng(1)
     rows = []
