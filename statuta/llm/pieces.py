@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -57,46 +58,99 @@ class Pieces:
         for byte, i in self.bytes.items():
             self.out[i] = bytes([byte])
         self.out[self.unknown] = " ⁇ ".encode()
-        self.single: dict[str, bool] = {}
         self.seam: dict[tuple[str, str], bool] = {}
+        self.halves: dict[str, tuple[str, str]] = {}
+        self.endings: dict = {}
+        if self.kind == "bpe":
+            self._index_endings()
         self.known: dict[str, tuple[int, ...]] = {}
         if any(MARK in p.lstrip(MARK) for p in self.ids) or any("\n" in p for p in self.ids):
             raise ValueError("pieces of this model cross words")
 
     # -- BPE ---------------------------------------------------------------
-    def merged(self, text: str) -> list[str]:
-        """The pieces of ``text`` by merging: always the best-ranked pair, the leftmost of equals."""
-        parts = list(text)
-        score = self.score
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                s = score.get(parts[k] + parts[k + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, k
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+    def _merge(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """The pieces of ``text`` by merging, and the two parts of the last merge.
+
+        Always the best-ranked pair is merged, the leftmost of equals; neighbours
+        are linked and the pairs wait in a heap, so long texts take n log n steps.
+        """
+        score, n = self.score, len(text)
+        parts: list[str | None] = list(text)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        waiting = [(-s, k, text[k : k + 2]) for k in range(n - 1) if (s := score.get(text[k : k + 2])) is not None]
+        heapify(waiting)
+        last = None
+        while waiting:
+            _, k, piece = heappop(waiting)
+            left = parts[k]
+            if left is None or after[k] >= n:
+                continue
+            j = after[k]
+            if len(left) + len(parts[j]) != len(piece):
+                continue  # one of the two has been merged with another since
+            last = left, parts[j]
+            parts[k], parts[j] = piece, None
+            after[k] = after[j]
+            if after[j] < n:
+                before[after[j]] = k
+                both = piece + parts[after[j]]
+                if (s := score.get(both)) is not None:
+                    heappush(waiting, (-s, k, both))
+            if before[k] >= 0:
+                both = parts[before[k]] + piece
+                if (s := score.get(both)) is not None:
+                    heappush(waiting, (-s, before[k], both))
+        return [x for x in parts if x is not None], last
 
-    def _whole(self, piece: str) -> bool:
-        ok = self.single.get(piece)
-        if ok is None:
-            ok = self.single[piece] = self.merged(piece) == [piece]
-        return ok
+    def merged(self, text: str) -> list[str]:
+        return self._merge(text)[0]
+
+    def _index_endings(self) -> None:
+        """Trie over the reversed pieces that merging their own text gives; a node's piece is under the empty key."""
+        for piece in self.ids:
+            found, last = self._merge(piece)
+            if found == [piece]:
+                if last:
+                    self.halves[piece] = last
+                node = self.endings
+                for c in reversed(piece):
+                    node = node.setdefault(c, {})
+                node[""] = piece
 
     def _follows(self, a: str, b: str) -> bool:
+        """Whether merging a + b gives a and b: no pair across the seam comes before the merges that made them.
+
+        The merges are taken back from the last one on; what then meets at the
+        seam must not be a piece of a better rank than the merge taken back
+        (of an equal rank only from b's side, as the leftmost goes first).
+        """
         key = a, b
         ok = self.seam.get(key)
-        if ok is None:
-            if len(self.seam) > 1_000_000:
-                self.seam.clear()
-            ok = self.seam[key] = self.merged(a + b) == [a, b]
+        if ok is not None:
+            return ok
+        score, halves = self.score, self.halves
+        worst, tie = None, False  # score of the merge taken back; whether an equal one across the seam goes first
+        while True:
+            s = score.get(a + b)
+            if s is not None and (worst is None or s > worst or tie and s == worst):
+                ok = False
+                break
+            in_a, in_b = halves.get(a), halves.get(b)
+            if in_a is None and in_b is None:
+                ok = True
+                break
+            if in_b is None or in_a is not None and score[a] < score[b]:
+                worst, tie, a = score[a], False, in_a[1]
+            else:
+                worst, tie, b = score[b], True, in_b[0]
+        if len(self.seam) > 1_000_000:
+            self.seam.clear()
+        self.seam[key] = ok
         return ok
 
     def _bpe_words(self, distinct: list[str], out: dict[str, tuple[int, ...]]) -> None:
         """Ids of marked words; last[k] is the last piece of the encoding of the current word's first k characters."""
-        ids, longest, whole, seam = self.ids, self.longest, self.single, self.seam
+        ids, seam, endings, follows = self.ids, self.seam, self.endings, self._follows
         before, last = "", [""]
         for word in sorted(distinct):
             if word.startswith(MARK + MARK):
@@ -110,19 +164,21 @@ class Pieces:
             del last[same + 1 :]
             for end in range(same + 1, n + 1):
                 found = word[end - 1]  # not in the vocabulary: it stands alone
-                for start in range(end - longest if end > longest else 0, end):
-                    piece = word[start:end]
-                    if piece in ids:
-                        ok = whole.get(piece)
-                        if (self._whole(piece) if ok is None else ok):
-                            if start == 0:
-                                found = piece
-                                break
-                            key = last[start], piece
-                            ok = seam.get(key)
-                            if (self._follows(*key) if ok is None else ok):
-                                found = piece
-                                break
+                node, start = endings, end
+                while start:
+                    start -= 1
+                    node = node.get(word[start])
+                    if node is None:
+                        break
+                    piece = node.get("")
+                    if piece is not None:
+                        if start == 0:
+                            found = piece
+                            break
+                        ok = seam.get((last[start], piece))
+                        if follows(last[start], piece) if ok is None else ok:
+                            found = piece
+                            break
                 last.append(found)
             parts, end = [], n
             while end:
