@@ -46,6 +46,48 @@ def spans_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, which: in
     return mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+#: Two primes, each with a base: the word hash is a polynomial in both.
+_PRIMES = ((2147483647, 1103515245), (2147483629, 1664525001))
+
+_residues: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _residue_powers(prime: int, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n of a base and of its inverse modulo a prime, each run of them doubled from the one before."""
+    have = _residues.get(prime)
+    if have is None or len(have[0]) <= n:
+        out = []
+        for b in (base, pow(base, -1, prime)):
+            a = np.ones(n + 1, np.uint64)
+            k = 1
+            while k <= n:
+                more = min(k, n + 1 - k)
+                a[k : k + more] = a[:more] * np.uint64(pow(b, k, prime)) % np.uint64(prime)
+                k += more
+            out.append(a)
+        have = out[0], out[1]
+        if n <= 4 << 20:
+            _residues[prime] = have
+    return have[0][: n + 1], have[1][: n + 1]
+
+
+def words_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs data[start:end]: polynomials modulo two primes, scrambled.
+
+    Modulo 2^64 a polynomial gives equal values for some regular texts, whatever
+    its base; modulo primes no two texts are known to.
+    """
+    values = data.astype(np.uint64) + np.uint64(1)
+    out = (end - start).astype(np.uint64) << np.uint64(1)
+    for prime, base in _PRIMES:
+        up, down = _residue_powers(prime, base, len(values))
+        total = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[:-1] % np.uint64(prime), out=total[1:])
+        h = (total[end] - total[start]) % np.uint64(prime) * down[start] % np.uint64(prime)
+        out = mixed(out ^ h)
+    return out
+
+
 def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, start, end, first) of the words ``[^\\x20\\x09-\\x0D]+``: byte offsets in the
     joined texts, and for each text the number of its first word (one more at the end)."""

@@ -100,8 +100,8 @@ FROM embeddings e JOIN low USING (vec_id) LEFT JOIN n USING (vec_id)
 """
 
 _OP4 = r"""
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents WHERE doc_id IS NOT NULL),
-pos AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13),
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+pos AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13 AND doc_id IS NOT NULL),
 win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM pos),
 low AS (SELECT k, min(doc_id) AS first_doc FROM win GROUP BY k),
 cut AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN low USING (k) WHERE first_doc < doc_id) GROUP BY doc_id)

@@ -19,7 +19,8 @@ after another: its runs hold each window's 96 bits and smallest doc_id, so that
 ``append`` verifies a batch against history without history's texts, at about 20
 bytes a word on disk.
 
-A block holds all rows of about ``BLOCK_ROWS`` documents (by hash of doc_id).  What
+A block holds all rows of the documents whose hash of doc_id falls to it, about
+``BLOCK_BYTES`` of text; one document is never split.  What
 moves is a block's distinct hashes, so one text copied into very many
 documents costs one entry a block.
 """
@@ -27,6 +28,7 @@ documents costs one entry a block.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 
 import numpy as np
@@ -35,10 +37,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import new_path, release, remove, stored
-from .hashing import batches, mixed, spans_hash, words_of
+from .hashing import batches, mixed, spans_hash, words_hash, words_of
 
 WINDOW, RUN = 13, 6
-BLOCK_ROWS = 2000
+
+#: Bytes of text that make a block and a bucket: what a task holds of either.
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 64 << 20
 
 _RUN_SCHEMA = "bucket int, block int, hashes binary, several binary"
 
@@ -48,7 +52,7 @@ def _fingerprints(texts: list[str | None]):
 
     The last array holds the word numbers at which a window starts."""
     data, start, end, first = words_of(texts)
-    word = spans_hash(data.astype(np.uint64), start, end)
+    word = words_hash(data, start, end)
     n = len(word)
     if n < WINDOW:
         return first, word, np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -210,7 +214,7 @@ def _resolved(docs: pd.DataFrame, known: pd.DataFrame, every: bool = False) -> p
         data, start, end, first = words_of(texts[a:b])
         gone = np.zeros(len(start) + 1, np.int32)
         if len(kh) and len(start) >= WINDOW:
-            word = spans_hash(data.astype(np.uint64), start, end)
+            word = words_hash(data, start, end)
             doc = _owners(first, np.arange(len(word)))
             starts = np.flatnonzero(doc[: len(word) - WINDOW + 1] == doc[WINDOW - 1 :])
             h1 = spans_hash(word, starts, starts + WINDOW, 1)
@@ -244,9 +248,8 @@ def _resolved(docs: pd.DataFrame, known: pd.DataFrame, every: bool = False) -> p
 class FingerprintIndex:
     """Runs of fingerprints under ``path`` (a folder that driver and executors share)."""
 
-    def __init__(self, spark: SparkSession, blocks: int, path: str | None = None):
-        self.spark, self.blocks = spark, max(1, blocks)
-        self.buckets = max(16, self.blocks)
+    def __init__(self, spark: SparkSession, blocks: int, path: str | None = None, buckets: int = 16):
+        self.spark, self.blocks, self.buckets = spark, max(1, blocks), buckets
         self.path, self.runs = path or new_path(spark, "fingerprints"), []
 
     def blocked(self, docs: DataFrame) -> DataFrame:
@@ -336,23 +339,33 @@ class WindowIndex(FingerprintIndex):
             release(self.spark)
 
 
-def dedup_substrings(docs: DataFrame, runs: int = 2, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Per row of ``docs`` with a doc_id: doc_id, n_words, n_removed (long), kept (binary: UTF-8 of the words kept, joined by one space).
+def _unshared(batch_iter):
+    """doc_id, n_words, n_removed, kept of rows from which nothing goes."""
+    for pdf in batch_iter:
+        words = [[w for w in re.split(rb"[\x20\x09-\x0D]+", (t or "").encode("utf-8", "surrogatepass")) if w] for t in pdf["text"]]
+        yield pd.DataFrame({"doc_id": pd.array([None] * len(pdf), "Int64"), "n_words": [len(w) for w in words], "n_removed": 0, "kept": [b" ".join(w) for w in words]})
+
+
+def dedup_substrings(docs: DataFrame, runs: int = 2, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_words, n_removed (long), kept (binary: UTF-8 of the words kept, joined by one space).
 
     Words are ``[^\\x20\\x09-\\x0D]+``; a null text has none.  A word goes if a window that
     covers it also starts in a document with a smaller doc_id; a document never
     removes its own repeats, and rows with equal doc_ids don't remove one
     another's words.  ``docs`` is ingested in ``runs`` batches, by halves of the blocks
     and so on, as batches that come one after another would be; the result doesn't
-    depend on their number.  Rows with a null doc_id give no row.
+    depend on their number.  A null doc_id is neither smaller nor larger than
+    another: such a row keeps its words and removes none.  A very long text is
+    worked on whole, in a task that holds it.  No other columns are read.
     """
     spark = docs.sparkSession
-    blocks = max(16, -(-docs.count() // block_rows))
-    index = FingerprintIndex(spark, blocks)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    index = FingerprintIndex(spark, max(16, -(-size // block_bytes)), buckets=max(16, -(-size // bucket_bytes)))
     for k in range(runs):
         index.ingest(docs.where(F.expr(f"pmod(xxhash64(doc_id), {index.blocks}) % {runs} = {k}")))
     index.compact()
-    return index.resolve(docs)
+    lone = docs.where("doc_id is null").select("text").mapInPandas(_unshared, "doc_id long, n_words long, n_removed long, kept binary")
+    return index.resolve(docs).unionByName(lone)
 
 
 def kept_digest(result: DataFrame) -> DataFrame:

@@ -97,6 +97,19 @@ def test_line_dedup_edge_cases(spark):
     assert dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_words_that_a_power_of_two_confuses_are_told_apart(spark):
+    """Thue-Morse words and their complements, whose polynomials modulo 2^64 are equal, and rows without an id."""
+    t = "a"
+    for _ in range(11):
+        t += t.translate({97: 98, 98: 97})
+    other = t.translate({97: 98, 98: 97})
+    head = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, f"{head} {t}"), (2, f"{head} {other}"), (3, f"{head} {t}"), (None, f"{head} {t}"), (None, None)]
+    got = dedup_substrings(spark.createDataFrame([(d, x, "x", None) for d, x in rows], SCHEMA)).collect()
+    assert sorted(((r.doc_id or 0, r.n_words, r.n_removed) for r in got)) == [(0, 0, 0), (0, 13, 0), (1, 13, 0), (2, 13, 0), (3, 13, 13)]
+    assert bytes(next(r.kept for r in got if r.doc_id == 2)).decode() == f"{head} {other}"
+
+
 def brute_substrings(rows, n=13):
     words = [(d, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t in rows]
     first = {}
