@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Pfair scheduling, with DataFrame functions only.
 
 A source's rows, in the order of an MD5 of their id, are cut into blocks of
-``block_rows``.  Each source has an integer weight w; L is the sum of weights.
+``block_rows``.  Each source has a whole weight w; L is the sum of weights.
 Block j (from 1) of a source is released at slot floor((j - 1) * L / w) and due
 by slot ceil(j * L / w); at each slot, earliest deadline first picks among the
 released blocks (ties: larger weight, then source name).  At slot t every source has then been
@@ -21,6 +21,9 @@ from .common import stored
 
 BLOCK_ROWS, SCALE = 64, 100
 
+#: Largest whole weight that weights with fractions are scaled to.
+FRACTIONS = 1000
+
 #: Rows of a hash bucket inside which rows are numbered; a source is numbered over many of them.
 BUCKET_ROWS = 2048
 
@@ -31,19 +34,28 @@ BROADCAST_SLOTS = 100_000
 def tempered_weights(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """(source, weight): weights in proportion to the square root of a source's rows, 1 to ``scale``."""
     counts = docs.groupBy("source").agg(F.count("*").alias("n"))
-    top = counts.agg(F.max("n").alias("top"))
-    return counts.join(F.broadcast(top)).select("source", F.greatest(F.lit(1), F.floor(scale * F.sqrt(F.col("n") / F.col("top"))).cast("int")).alias("weight"))
+    every = counts.agg(F.collect_list(F.struct("source", "n")).alias("of")).withColumn("top", F.expr("array_max(transform(of, x -> x.n))"))
+    one = every.select(F.explode("of").alias("x"), "top")
+    return one.select("x.source", F.greatest(F.lit(1), F.floor(scale * F.sqrt(F.col("x.n") / F.col("top"))).cast("int")).alias("weight"))
 
 
 def schedule(weights: DataFrame) -> DataFrame:
     """(source, j, slot, period, weight): one period of the earliest-deadline-first schedule.
 
-    ``weights`` has (source, weight), a positive whole number each: one row for
-    each source, so a table of bounded size.  Non-positive and null weights are refused.
+    ``weights`` has (source, weight), so a table of as many rows as sources.
+    Rows of one source are added up.  Whole weights are taken as they are; if
+    any has a fraction, all are scaled to whole ones of which the largest is
+    ``FRACTIONS`` (a rounding of half of its thousandth, and 1 at least).
+    Non-positive and null weights are refused.  One period is scheduled slot by
+    slot in one task, in time with its slots and sources.
     """
-    checked = weights.select("source", F.when(F.col("weight") > 0, F.col("weight").cast("int")).otherwise(F.raise_error(F.lit("weights must be positive"))).alias("weight"))
-    order = F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("w"), F.col("source").isNotNull().alias("named"), "source")))
-    one = checked.agg(order.alias("s")).where(F.size("s") > 0)
+    checked = weights.select("source", F.when(F.col("weight") > 0, F.col("weight").cast("double")).otherwise(F.raise_error(F.lit("weights must be positive"))).alias("weight"))
+    summed = checked.groupBy("source").agg(F.sum("weight").alias("weight"))
+    every = summed.agg(F.collect_list(F.struct("source", "weight")).alias("of")).where(F.size("of") > 0)
+    whole = f"if(forall(of, x -> x.weight = floor(x.weight)), 1D, {FRACTIONS}D / array_max(transform(of, x -> x.weight)))"
+    # -weight first: ties go to the larger weight, then to the source's name.
+    order = "sort_array(transform(of, x -> named_struct('w', -greatest(1, cast(round(x.weight * factor) as int)), 'named', x.source is not null, 'source', x.source)))"
+    one = every.withColumn("factor", F.expr(whole)).select(F.expr(order).alias("s"))
     one = one.withColumn("period", F.expr("aggregate(s, 0, (a, x) -> a - x.w)"))
     # State: blocks that each source has been served, and the picks so far.
     fold = """aggregate(sequence(0, period - 1),

@@ -42,6 +42,17 @@ def test_mixing_keeps_all_rows_and_their_order(spark):
     assert mix_sources(spark.createDataFrame([], "doc_id long, source string, slot string")).count() == 0
 
 
+def test_mixing_takes_fractions_and_adds_repeated_weights(spark):
+    docs = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(400)], "doc_id long, source string")
+    given = spark.createDataFrame([("a", 0.4), ("a", 0.3), ("b", 0.3)], "source string, weight double")
+    first = sorted(mix_sources(docs, given, block_rows=4).collect(), key=lambda r: r.position)[:200]
+    # 50 blocks, of which each source has its share within less than one block.
+    assert abs(sum(r.source == "a" for r in first) / 4 - 35) <= 1
+    for bad in (0.0, -1.0, None):
+        with pytest.raises(Exception, match="positive"):
+            mix_sources(docs, spark.createDataFrame([("a", bad), ("b", 1.0)], "source string, weight double")).collect()
+
+
 def test_mixing_refuses_unnamed_sources(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, source string")
     with pytest.raises(Exception, match="no weight"):

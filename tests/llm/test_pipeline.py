@@ -74,3 +74,26 @@ def test_every_stage_takes_effect(spark, tmp_path):
         assert (r.block, r.slot, r.position) == place[d] and r.source == source[d]
         assert list(r.token_ids) == model.encode(lines[d]) and r.n_tokens == len(r.token_ids)
     assert len({r.position for r in got.values()}) == len(stay) and len({r.block for r in got.values()}) > 1
+
+
+@pytest.mark.skipif(not Path(MODEL).exists(), reason="needs a public tokenizer")
+def test_stages_take_nulls_empties_repeats_and_clashing_columns(spark, tmp_path):
+    good = "\n".join(sentence(random.Random(k), 30) for k in range(2))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, position string, n_tokens string, predicted string"
+    row = lambda d, t, s: (d, t, None, s, None if t is None else len(t), "p", "n", "q")
+    rows = [row(1, good, "x"), row(1, good, "x"), row(None, good, None), row(2, "", "x"), row(3, None, "y"), row(None, None, None), row(4, "word " * 30_000, "x")]
+    # Labels of other documents, a repeated one and a null one.
+    spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 0, 0), (9, 0, 0), (4, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(rows, schema)
+    out = {name: stage(spark, docs, str(tmp_path)) for name, stage in corpus_pipeline.STAGES}
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert out[name].columns == docs.columns
+    key = lambda r: (r.doc_id, r.text, r.source)
+    assert set(map(key, out["quality classifier"].collect())) <= {(r[0], r[1], r[3]) for r in rows}
+    assert out["line dedup"].count() == len(rows)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out["SimHash near-dedup"].collect()) == [(False, 1), (False, 2), (False, 4)]
+    assert Counter(map(key, out["mixing sources"].collect())) == Counter((r[0], r[1], r[3]) for r in rows)
+    encoded = out["SentencePiece encoding"].collect()
+    assert len(encoded) == len(rows) and all(r.round_trip for r in encoded) and len({r.position for r in encoded}) == len(rows)
+    none = spark.createDataFrame([], schema)
+    assert all(stage(spark, none, str(tmp_path)).count() == 0 for _, stage in corpus_pipeline.STAGES)
