@@ -1,7 +1,7 @@
 """Tables of contents and chapter ranges as window expressions over the lines of a document.
 
 All windows share the partition and order (doc_id, line_no), so they share one
-exchange and one sort.
+exchange and one sort; the lines of an entry are gathered once.
 """
 
 from __future__ import annotations
@@ -61,15 +61,19 @@ def parse_toc(lines: DataFrame) -> DataFrame:
     stop = read & (((F.lower("s") == F.lower("title")) & (F.col("line_no") > 10)) | (F.col("s").rlike(T.ANY_CHAPTER) & F.col("next").isNotNull() & known))
     df = df.withColumn("stop", F.min(F.when(stop, F.col("line_no"))).over(_doc()))
     ends = (F.col("s") == "") | F.col("s").rlike(r"(?U)^\d+[A-Za-z]*\.\s+") | F.col("s").rlike(r"(?iu)^(CHAPTER|PART)\s+") | (T.is_upper(F.col("s")) & (F.length("s") > 10)) | T.is_digits(F.col("s")) | F.col("s").rlike(T.SCHEDULE_LINE)
-    df = df.withColumn("group", F.count_if(ends).over(_so_far()))
-    run = Window.partitionBy("doc_id", "group").orderBy("line_no").rowsBetween(1, Window.unboundedFollowing)
-    df = df.withColumn("more", F.sort_array(F.collect_list(F.struct("line_no", "s")).over(run)))
-    df = df.where(read & (F.col("stop").isNull() | (F.col("line_no") < F.col("stop"))))
+    kept = read & (F.col("stop").isNull() | (F.col("line_no") < F.col("stop")))
+    is_section = ~F.col("active") & (F.regexp_extract("s", T.SECTION, 1) != "")
+    # Entries are lines that end the one before, so each heads a group; only the lines after a section's go with it.
+    df = df.withColumn("ends", ends).withColumn("entry", F.when(kept & F.col("active"), 1).when(kept & is_section, 2).otherwise(0))
+    df = df.withColumn("group", F.count_if("ends").over(_so_far())).withColumn("of", F.last(F.when(F.col("ends"), F.col("entry")), ignorenulls=True).over(_so_far()))
+    df = df.where((F.col("ends") & (F.col("entry") > 0)) | (~F.col("ends") & (F.col("of") == 2)))
+    df = df.groupBy("doc_id", "group").agg(
+        F.min_by(F.struct("line_no", "s", "next", "roman", "active", "valid"), "line_no").alias("head"),
+        F.sort_array(F.collect_list(F.when(~F.col("ends"), F.struct("line_no", "s")))).alias("more"),
+    ).select("doc_id", "head.*", "more")
     num = F.regexp_extract("s", T.SECTION, 1)
-    is_section = ~F.col("active") & (num != "")
     heading = F.concat_ws(" ", F.array(T.strip(F.regexp_extract("s", T.SECTION, 2))), F.transform("more", lambda x: x.s))
-    out = df.where(F.col("active") | is_section)
-    return out.select(
+    return df.select(
         "doc_id", F.col("line_no").cast("int").alias("line_no"),
         F.when(F.col("active"), "chapter").otherwise("section").alias("kind"),
         F.when(F.col("active"), F.col("roman")).alias("roman"),

@@ -82,6 +82,13 @@ def test_toc_edges(spark):
     assert toc.toc_start(lines(spark, "x\ny")).first().toc_start == 0
 
 
+def test_contents_of_one_long_document(spark):
+    text = "Act\n1. First\nand more\n" + "plain words\n" * 100_000 + "2. Second.\n"
+    lines = spark.createDataFrame([(1, n, x) for n, x in enumerate(text.split("\n"))], "doc_id long, line_no int, line string")
+    got = [(r.num, len(r.heading), r.last_line) for r in toc.parse_toc(lines).orderBy("line_no").collect()]
+    assert got == [("1", len("First and more") + 100_000 * len(" plain words"), 100_002), ("2", 6, 100_003)]
+
+
 def test_chapter_lines_in_a_row(spark):
     got = toc.chapters(toc.parse_toc(lines(spark, "CHAPTER I\nCHAPTER II\nCHAPTER III\nName\n1. A"))).orderBy("ord").collect()
     assert [(r.roman, r.heading) for r in got] == [("I", "CHAPTER II"), ("III", "Name")]
