@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -163,6 +164,15 @@ def test_wrappers_find_repeats_slots_and_fixed_text(spark):
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def test_unclosed_elements_take_time_in_proportion():
+    began = time.process_time()
+    assert extract("<div>" * 50_000 + "text") == "text"
+    assert extract("<div class=ad>" * 20_000 + "buy" + "</div>" * 20_000 + "<p>one<div>two") == "one\ntwo"
+    assert extract("<p>" * 20_000 + "<b>" * 20_000 + "x") == "x"
+    assert len(extract("<ul>" + "<li>a" * 20_000)) == 39_999
+    assert time.process_time() - began < 60
+
+
 @pytest.mark.skipif(not Path(MODEL).exists(), reason="needs a public tokenizer")
 def test_pieces_equal_the_library(spark):
     import sentencepiece
