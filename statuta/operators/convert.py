@@ -11,11 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.text import retryable, split_lines, strip
-from ..sources.transport import Transport, call_with_retry
+from ..sources.transport import Pace, Transport, call_with_retry, cool_down
 
 LOG_SCHEMA = "doc_id long, ord int, num string, content_hash string, prompt_ver string, model string, status string, markup string, error string, attempts int"
-PROMPT_VERSION = "1"
-PROMPT = "Convert this section of {document} to indented legal markup (SEC, SUBSEC, PARA, SUBPARA; table placeholders stay on lines of their own).\nSection number: {num}\nHeading: {heading}\nContent:\n{content}"
+PROMPT_VERSION = "2"
+#: The rules of the markup; keywords and the placeholder's form are fixed values.
+RULES = (
+    "A section starts with: SEC [num]. - [heading]",
+    "What belongs to a section stands two blanks deeper than its SEC line",
+    "SUBSEC (1), SUBSEC (2), ... open subsections, on lines of their own under SEC; the text follows one level deeper",
+    "PARA (a), PARA (b), ... open paragraphs of a subsection in the same way",
+    "SUBPARA (i), SUBPARA (ii), ... open subparagraphs of a paragraph in the same way",
+    'An explanation is an indented paragraph that begins with "Explanation.—"',
+    'An illustration is an indented paragraph that begins with "Illustration", or with its letter',
+    'An exception is an indented paragraph that begins with "Exception"',
+    'A proviso is an indented paragraph that begins with "Provided that"',
+    "A line <<TABLE_REGION:N>> stands for a table that is put in later: keep it as it is, on a line of its own and at its depth; never describe, wrap, drop or render it",
+)
+PROMPT = "Convert this section of {document} to indented legal markup.\n" + "\n".join(f"{n}. {rule}" for n, rule in enumerate(RULES, 1)) + "\nKeep the words of the law as they are. Give the markup alone.\nSection number: {num}\nHeading: {heading}\nContent:\n{content}"
 
 
 def prompts(sections: DataFrame, document: str = "Legislative Document", template: str = PROMPT) -> DataFrame:
@@ -66,10 +79,13 @@ def convert_pending(todo: DataFrame, transport: Transport, model: str, prompt_ve
     Every outcome has a row: ok, error, or exhausted (a passing fault that lasted)."""
 
     def run(frames):
+        called, pace = 0, getattr(transport, "pace", None) or Pace(batch_delay=0)
         for pdf in frames:
             rows = []
             for r in pdf.itertuples(index=False):
                 status, text, error, attempts = call_with_retry(transport, r.prompt)
+                cool_down(called, pace)
+                called += 1
                 rows.append((r.doc_id, r.ord, r.num, r.content_hash, prompt_ver, model, status, text, error, attempts))
             import pandas as pd
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.text import page_span
+from ..sources.scans import tolerant_json
 
 RULE = "=" * 80
 
@@ -64,9 +65,39 @@ def region_report(regions: DataFrame, blocks: DataFrame) -> DataFrame:
     return df.select("doc_id", "region_id", F.concat(head, F.lit("--- read ---\n"), "markdown", F.lit("\n\n--- rendered ---\n"), F.coalesce("block", F.lit("(none)")), F.lit("\n\n")).alias("report"))
 
 
+def save_analyses(results: DataFrame, path: str) -> None:
+    """Analyses (doc_id, analysis_type, result, error) as JSON lines, a folder a type; a result of type json is kept as the JSON it holds."""
+    parsed = F.when(F.col("analysis_type") == "json", tolerant_json("result"))
+    results.withColumn("parsed", parsed).write.mode("overwrite").partitionBy("analysis_type").json(path)
+
+
+def analysis_summaries(texts: DataFrame, results: DataFrame, path: str) -> DataFrame:
+    """(doc_id, json): length of the text, the analyses that ran, where they are, and the errors; documents without one have empty lists."""
+    done = results.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.when(F.col("error").isNull(), F.col("analysis_type")))).alias("analyses_performed"),
+        F.sort_array(F.collect_list(F.when(F.col("error").isNotNull(), F.concat_ws(": ", "analysis_type", "error")))).alias("errors"),
+    )
+    none = F.array().cast("array<string>")
+    df = texts.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("extracted_text_length")).join(done, "doc_id", "left")
+    df = df.withColumns({c: F.coalesce(c, none) for c in ("analyses_performed", "errors")})
+    files = F.transform("analyses_performed", lambda t: F.concat(F.lit(f"{path}/analysis_type="), t)).alias("files_generated")
+    whole = F.struct((F.size("errors") == 0).alias("analysis_complete"), "extracted_text_length", "analyses_performed", files, "errors", F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss").alias("timestamp"))
+    return df.select("doc_id", F.to_json(whole).alias("json"))
+
+
+def progress(log: DataFrame, total: int, seconds: float) -> DataFrame:
+    """One row: done, failed, percent of ``total``, mean seconds a section and seconds left, after ``seconds`` of work."""
+    done = log.agg(F.count_if(F.col("status") == "ok").alias("done"), F.count_if(F.col("status") != "ok").alias("failed"))
+    mean = F.try_divide(F.lit(float(seconds)), "done")
+    return done.withColumns({"percent": F.round(100 * F.try_divide("done", F.lit(total)), 1), "mean_seconds": mean, "seconds_left": mean * (F.lit(total) - F.col("done"))})
+
+
 def write_texts(texts: DataFrame, path: str, column: str = "text") -> None:
-    """One folder with one text file for each document; the commit protocol makes it all or nothing."""
-    texts.select("doc_id", F.col(column).alias("value")).repartition("doc_id").write.mode("overwrite").partitionBy("doc_id").option("lineSep", "").text(path)
+    """One folder with one text file, which ends in a line break, for each document; the commit protocol makes it all or nothing.
+
+    For up to some ten thousand documents; write larger corpora as tables of (doc_id, text).
+    """
+    texts.select("doc_id", F.col(column).alias("value")).repartition("doc_id").write.mode("overwrite").partitionBy("doc_id").text(path)
 
 
 def append_tsv(rows: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,22 @@ from pyspark.sql import functions as F
 
 from ..operators import chapters, convert, mdtable, rescue, sections, sinks, toc
 from ..sources.scans import join_pages, lines_of
-from ..sources.transport import Transport
+from ..sources.recognition import page_images, recognise_pages
+from ..sources.transport import Transport, analyze, classify_pages
+
+
+@dataclass
+class Services:
+    """What depends on a document format or a service: pages of a document, one page as a document, images, recognition, vision."""
+
+    count: Callable[[bytes], int]
+    cut: Callable[[bytes, int], bytes]
+    read: Callable[[bytes], str]
+    render: Callable[[bytes, list[int], float], list[bytes]] | None = None
+    ask: Callable[[bytes], str] | None = None
+    pages: Callable[[bytes], list[str | None]] | None = None
+    transport: Transport | None = None
+    analyse: Callable[[str, str], str] | None = None
 
 
 @dataclass
@@ -37,6 +53,46 @@ def parse(pages: DataFrame, compat: bool = True, selected: list[str] | None = No
     return {"texts": texts, "lines": lines, "toc": entries, "ranges": ranges, "listed": listed, "body": body, "sections": placed, "gaps": toc.toc_gaps(listed)}
 
 
+def table_texts(documents: DataFrame, mode: str, services: Services, cache: str, declared: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pages with tables (doc_id, page_no), their recognised text (doc_id, page_no, markdown)) of ``documents`` (doc_id, mtime, content).
+
+    ``mode``: declared takes the pages of ``declared`` (doc_id, page_no), full takes all
+    pages, auto those of which the vision service says that they hold a table.
+    """
+    if mode not in ("declared", "auto", "full"):
+        raise ValueError(f"no table mode {mode!r}")
+    if (mode == "declared") != (declared is not None):
+        raise ValueError("mode declared and declared pages go together")
+
+    def numbers(frames):
+        for pdf in frames:
+            yield pdf[["doc_id"]].assign(n_pages=[services.count(bytes(c)) for c in pdf["content"]])
+
+    if mode == "declared":
+        tables = declared.select("doc_id", "page_no").distinct()
+    else:
+        counted = documents.select("doc_id", "content").mapInPandas(numbers, "doc_id long, n_pages int").where("n_pages > 0")
+        tables = counted.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("n_pages"))).alias("page_no"))
+    if mode == "auto":
+        images = page_images(documents, tables, services.count, services.render)
+        tables = rescue.flagged_pages(classify_pages(images, services.ask))
+
+    def cut(frames):
+        for pdf in frames:
+            yield pdf[["doc_id", "mtime", "page_no"]].assign(document=[services.cut(bytes(c), int(p)) for c, p in zip(pdf["content"], pdf["page_no"], strict=True)])
+
+    wanted = documents.join(tables, "doc_id").mapInPandas(cut, "doc_id long, mtime timestamp, page_no int, document binary")
+    return tables, recognise_pages(wanted, services.read, cache)
+
+
+def analyze_corpus(texts: DataFrame, ask: Callable[[str, str], str], path: str, types: tuple[str, ...] = ("summary", "json")) -> DataFrame:
+    """Analyses of ``texts`` (doc_id, text) written under ``path``, and their summaries (doc_id, json); failures are collected in them."""
+    analyze(texts, ask, types).write.mode("overwrite").parquet(f"{path}/results")
+    results = texts.sparkSession.read.parquet(f"{path}/results")
+    sinks.save_analyses(results, f"{path}/analyses")
+    return sinks.analysis_summaries(texts, results, f"{path}/analyses")
+
+
 def convert_corpus(pages: DataFrame, settings: Settings, transport: Transport | None = None, ocr_pages: DataFrame | None = None, table_pages: DataFrame | None = None) -> dict[str, DataFrame]:
     """``parse`` plus regions, converted entries, markup texts and metadata.
 

@@ -12,7 +12,8 @@ from ..functions.text import RETRYABLE
 
 API_MODES = ("chat", "responses", "azure-inference")
 PROVIDERS = ("anthropic", "azure")
-ANALYSIS_TYPES = ("summary", "structure", "entities", "json")
+# The kinds of analysis.
+ANALYSIS_TYPES = ("summary", "structure", "content", "json")
 
 
 class Transport(Protocol):
@@ -55,6 +56,12 @@ def call_with_retry(transport: Transport, prompt: str, pace: Pace | None = None,
     return "exhausted", None, error, pace.attempts
 
 
+def cool_down(index: int, pace: Pace, sleep: Callable[[float], None] = time.sleep) -> None:
+    """Waits after call ``index`` (from 0) if it's the last of a batch, whatever its outcome."""
+    if pace.batch and pace.batch_delay and (index + 1) % pace.batch == 0:
+        sleep(pace.batch_delay)
+
+
 @dataclass
 class EchoTransport:
     """A stand-in without a service: answers by a function, and fails where told to."""
