@@ -110,7 +110,7 @@ def q03_clean_page_numbers(spark, d):
     return _table(spark, d, "documents").select("doc_id", F.regexp_replace(F.expr(_NUMBERED_TEXT), pattern, by).alias("cleaned"))
 
 
-_HEADED = "chr(10) || '1[10. One.]' || chr(10) || 'The Gazette of India ' || chr(10) || 'PART I-A' || chr(10) || '[No. 22 of 2021]' || chr(10) || 'see Section 5' || chr(10) || chr(10) || chr(10) || substr(text, 1, 40) || chr(10) || '11.] Two'"
+_HEADED = "chr(10) || '1[10. One.]' || chr(10) || 'The Gazette of India ' || chr(10) || 'Extraordinary ' || chr(10) || 'PART I-A' || chr(10) || '[No. 22 of 2021]' || chr(10) || 'see Section 5' || chr(10) || chr(10) || chr(10) || text || chr(10) || '11.] Two'"
 
 
 @query(f"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,
@@ -412,7 +412,7 @@ def q38_chapter_tree(spark, d):
     return K.chapter_tree(ranges, C.in_ranges(sections, ranges)).select("doc_id", "ord", "roman", "section_count", F.array_join(F.transform("sections", lambda s: s.num), ",").alias("nums"))
 
 
-@query()
+@query("SELECT c_custkey AS doc_id, 'similarity' AS match_type, round(2.0 * (length(c_mktsegment) + 8) / (2 * length(c_mktsegment) + 17), 6)::DOUBLE AS similarity FROM customer")
 def q39_similarity_match(spark, d):
     """Headings that the body spells otherwise, found by similarity."""
     docs = _table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), F.concat(F.col("c_custkey").cast("string"), F.lit("."), F.col("c_mktsegment"), F.lit(" mattters—")).alias("body"))
@@ -420,12 +420,12 @@ def q39_similarity_match(spark, d):
     return S.extract_sections(docs, toc_rows).select("doc_id", "match_type", F.round("similarity", 6).alias("similarity"))
 
 
-@query()
+@query("SELECT CAST(n_regionkey AS BIGINT) AS doc_id, CAST(n_nationkey AS VARCHAR) AS num, n_name AS markup, 'ok' AS status FROM nation")
 def q40_streaming_convert(spark, d):
     """Sections converted by a stream over files, with a failure that the next run makes good."""
     from ..streaming.convert_stream import stream_conversion
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="statuta-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="statuta-")
     root = f"{base}/stream-{spark.sparkContext.applicationId}-{spark.sparkContext._jvm.System.nanoTime()}"
     n = _table(spark, d, "nation")
     n.select(F.col("n_regionkey").cast("long").alias("doc_id"), F.col("n_nationkey").cast("int").alias("ord"), F.col("n_nationkey").cast("string").alias("num"), F.col("n_name").alias("heading"), F.col("n_name").alias("content")).write.parquet(f"{root}/in")
