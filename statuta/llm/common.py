@@ -14,12 +14,14 @@ BATCH_BYTES = 2 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only if none is named (tests)."""
+    """The shared folder the cluster names; a temporary one only if none is named and all runs in one process (tests)."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not named:
         named = sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="statuta-")
         sc.setCheckpointDir(named)
     return named.rstrip("/")
