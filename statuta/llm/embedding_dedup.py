@@ -120,7 +120,8 @@ def _linked(threshold: float, block: int):
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, projections: int = PROJECTIONS, width: float = WIDTH, block: int = BLOCK) -> DataFrame:
     """Per row of ``vectors``: vec_id, n_links (long), component_id (long), kept (boolean).
 
-    Needs vec_id, embedding (array of numbers) and label.  Vectors link if their
+    Needs vec_id, embedding (array of numbers) and label (of any type); other
+    columns are not read.  Vectors link if their
     labels are equal and not null, they have as many components, and their
     cosine is at least ``threshold``; n_links counts the other rows linked
     directly.  Vectors that are null, empty, zero or hold null or non-finite
@@ -135,8 +136,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int =
     classes = base.where("fine").groupBy("label", "vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     # Two rows of a class may share the smallest id with another label's class; the class key keeps them apart.
     classes = stored(classes.select("label", "vector", "copies", F.col("id").alias("vec_id")).withColumn("id", F.xxhash64("label", "vector")), "classes")
-    schema = "label int, dim int, t int, key long, id long, copies long, keys binary, vec binary"
-    rows = classes.select(F.col("label").cast("int").alias("label"), "vector", "id", "copies").mapInArrow(_hashed(tables, projections, width), schema)
+    schema = "label long, dim int, t int, key long, id long, copies long, keys binary, vec binary"
+    rows = classes.select(F.xxhash64("label").alias("label"), "vector", "id", "copies").mapInArrow(_hashed(tables, projections, width), schema)
     bucket = ["label", "dim", "t", "key"]
     sizes = rows.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / block).cast("int"))
     met = rows.join(sizes, bucket).withColumn("own", F.pmod(F.col("id"), F.col("parts")).cast("int"))

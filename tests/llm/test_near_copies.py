@@ -226,6 +226,27 @@ def test_embedding_dedup_matches_brute_force(spark):
     assert near_vectors(spark.createDataFrame([], docs.schema)).count() == 0
 
 
+def test_embedding_dedup_finds_planted_pairs_with_its_own_parameters(spark):
+    """Pairs at every cosine from 0.90 to 0.99 in 64 dimensions, labels that are names."""
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for k in range(300):
+        v = rng.standard_normal(64)
+        v /= np.linalg.norm(v)
+        u = rng.standard_normal(64)
+        u -= (u @ v) * v
+        u /= np.linalg.norm(u)
+        cos = 0.90 + 0.09 * k / 300
+        if abs(cos - 0.93) < 1e-6:
+            continue
+        rows += [(2 * k, v.tolist(), f"l{k % 3}"), (2 * k + 1, (cos * v + np.sqrt(1 - cos * cos) * u).tolist(), f"l{k % 3}" if k % 10 else "other")]
+        want[2 * k] = cos >= 0.93 and k % 10 > 0
+    got = {r.vec_id: r for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    found = {i: got[i].n_links == 1 and got[i + 1].component_id == i and not got[i + 1].kept for i in want}
+    assert not any(found[i] or got[i].n_links for i in want if not want[i])
+    assert sum(found[i] for i in want) >= 0.97 * sum(want.values()) and sum(want.values()) > 150
+
+
 def met(spark, pairs):
     """The share of pairs of lines that meet in a band."""
     lines = sorted({x for p in pairs for x in p})
