@@ -425,7 +425,11 @@ def q40_streaming_convert(spark, d):
     """Sections converted by a stream over files, with a failure that the next run makes good."""
     from ..streaming.convert_stream import stream_conversion
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="statuta-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="statuta-")
     root = f"{base}/stream-{spark.sparkContext.applicationId}-{spark.sparkContext._jvm.System.nanoTime()}"
     n = _table(spark, d, "nation")
     n.select(F.col("n_regionkey").cast("long").alias("doc_id"), F.col("n_nationkey").cast("int").alias("ord"), F.col("n_nationkey").cast("string").alias("num"), F.col("n_name").alias("heading"), F.col("n_name").alias("content")).write.parquet(f"{root}/in")
