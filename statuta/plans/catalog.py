@@ -169,10 +169,10 @@ def _bodies(lines, entries):
     return body.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x.line), "\n").alias("body"))
 
 
-def _sliced(spark, d, **kind):
+def _sliced(spark, d, missing=False, **kind):
     lines = acts(spark, d, **kind)
     entries = toc.parse_toc(lines)
-    return S.extract_sections(_bodies(lines, entries), toc.toc_sections(entries))
+    return S.extract_sections(_bodies(lines, entries), toc.toc_sections(entries), missing=missing)
 
 
 @query(f"WITH {_RM} SELECT doc_id, 'exact' AS match_type, count(*) AS n FROM rm GROUP BY doc_id")
@@ -226,7 +226,7 @@ _REPEALED = {"toc_line": "CAST(num AS VARCHAR(20)) || CASE WHEN num%29=0 THEN 'Z
 
 @query(f"WITH {_RM} SELECT doc_id, CAST(num AS VARCHAR) || 'ZZ' AS num, '[Repealed/Omitted]' AS content FROM rm WHERE num % 29 = 0")
 def q19_repealed_fallback(spark, d):
-    return _sliced(spark, d, **_REPEALED).where("start is null").select("doc_id", "num", "content")
+    return _sliced(spark, d, missing=True, **_REPEALED).select("doc_id", "num", "content")
 
 
 # ---- tables --------------------------------------------------------------------

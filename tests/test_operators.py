@@ -1,5 +1,7 @@
 """Literal edge cases of the operators."""
 
+import tracemalloc
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,24 @@ def test_slicing():
     assert [c[3] for c in cut] == ["One—a", "Two—b"]
 
 
+def test_missing_sections_of_a_long_document(spark):
+    """Contents before missing headings run to the end of the text: all of them would take the square of its length."""
+    n = 4_000
+    listed = [(k, f"{k}ZZ" if k % 2 else str(k), f"Gone {k} [Omitted]" if k % 2 else f"Heading number {k}") for k in range(n)]
+    text = "\n".join(f"{num}. {heading}—{'words ' * 60}" for k, num, heading in listed if k % 2 == 0)
+    tracemalloc.start()
+    rows = list(sections._sliced(text, listed, True, True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(text) and [r[0] for r in rows] == list(range(1, n, 2)) and {r[3] for r in rows} == {"[Repealed/Omitted]"}
+    toc_rows = spark.createDataFrame([(1, *r) for r in listed[:40]] + [(2, 1, "1", "Absent")], "doc_id long, ord int, num string, heading string")
+    body = spark.createDataFrame([(1, text), (3, "x")], "doc_id long, body string")
+    gone = sections.extract_sections(body, toc_rows, missing=True)
+    assert sorted((r.doc_id, r.ord, r.content, r.start) for r in gone.collect()) == [(1, k, "[Repealed/Omitted]", None) for k in range(1, 40, 2)] + [(2, 1, "", None)]
+    every = sections.extract_sections(body, toc_rows)
+    assert sorted(map(repr, every.where("start is null").collect())) == sorted(map(repr, gone.collect())) and every.count() == 41
+
+
 def test_splice_keeps_what_it_does_not_know(spark):
     m = spark.createDataFrame([(1, 1, "a\n  <<TABLE_REGION:0>>  \nx <<TABLE_REGION:0>>\n<<TABLE_REGION:9>>")], "doc_id long, ord int, markup string")
     b = spark.createDataFrame([(1, 0, "T\n\n u"), (1, 2, "V")], "doc_id long, region_id int, block string")
