@@ -42,7 +42,10 @@ from .hashing import batches, mixed, spans_hash, words_hash, words_of
 WINDOW, RUN = 13, 6
 
 #: Bytes of text that make a block and a bucket: what a task holds of either.
-BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 64 << 20
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+
+#: Characters of a block that are hashed at once: each takes some 150 bytes in arrays meanwhile.
+BATCH_CHARS = 1 << 18
 
 _RUN_SCHEMA = "bucket int, block int, hashes binary, several binary"
 
@@ -85,7 +88,7 @@ def _ingest(buckets: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         texts, ids = pdf["text"].tolist(), pdf["doc_id"].to_numpy()
         found, owner = [], []
-        for a, b in batches(texts):
+        for a, b in batches(texts, BATCH_CHARS):
             first, _, low, starts = _fingerprints(texts[a:b])
             of = _owners(first, starts)
             keep = np.ones(len(low), bool)
@@ -151,7 +154,7 @@ def _candidates(docs: pd.DataFrame, shared: pd.DataFrame | None):
     common = None if shared is None else np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in shared["hashes"]])) if len(shared) else np.zeros(0, np.uint64)
     texts, ids = docs["text"].tolist(), docs["doc_id"].to_numpy()
     out = []
-    for a, b in batches(texts):
+    for a, b in batches(texts, BATCH_CHARS):
         first, word, low, starts = _fingerprints(texts[a:b])
         if common is not None:
             starts = starts[_contains(common, low)]
@@ -210,7 +213,7 @@ def _resolved(docs: pd.DataFrame, known: pd.DataFrame, every: bool = False) -> p
     parts = [(found["h"], found["g"], found["d"])] + [(np.frombuffer(h, np.uint64), np.frombuffer(g, np.uint32), np.frombuffer(d, np.int64)) for h, g, d in zip(early["h"], early["g"], early["d"], strict=True)]
     kh, kg, kd = _least(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
     n_words, n_removed, kept = [], [], []
-    for a, b in batches(texts):
+    for a, b in batches(texts, BATCH_CHARS):
         data, start, end, first = words_of(texts[a:b])
         gone = np.zeros(len(start) + 1, np.int32)
         if len(kh) and len(start) >= WINDOW:

@@ -3,15 +3,18 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import xxhash
 
 from statuta.llm.embedding_dedup import near_vectors
 from statuta.llm.graph import components
+from statuta.llm.hashing import _powers, _residues
 from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_keys, dedup_lines, line_links
 from statuta.llm.simhash import GrayTree, dedup_simhash, fingerprint_links, fingerprints, gray_rank, hexed, part_masks, simhash_groups
-from statuta.llm.substring_dedup import WindowIndex, dedup_substrings, kept_digest
+from statuta.llm.substring_dedup import WindowIndex, _ingest, dedup_substrings, kept_digest
 
 SCHEMA = "doc_id long, text string, n_removed string, source string"
 SYLLABLES = "ka lo mi tu re so vi na pe do ga hu".split()
@@ -318,3 +321,18 @@ def test_batches_are_resolved_without_the_texts_of_earlier_ones(spark):
             assert len(index.runs) == 1
     assert any(want[d][2] for d in range(60, 90))
     index.drop()
+
+
+def test_a_block_takes_little_memory():
+    """A task of substring dedup holds a few copies of its block's text, whatever hashing needs beside it."""
+    words = np.random.default_rng(3).integers(0, 50_000, (600, 1_000))
+    texts = [" ".join(f"word{x}" for x in row) for row in words]
+    docs = pd.DataFrame({"block": 0, "doc_id": range(len(texts)), "text": texts})
+    _residues.clear()
+    _powers.clear()
+    tracemalloc.start()
+    found = _ingest(16)(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * sum(map(len, texts)) and len(found)
+
