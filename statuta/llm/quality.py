@@ -24,6 +24,9 @@ from .hashing import batches, mixed, spans_hash, words_of
 
 DIM, SAMPLE, ALPHA, COST, EPOCHS = 1 << 18, 4000, 1.0, 1.0, 12
 
+#: Characters whose n-grams a worker holds at once; a longer text is held by itself.
+HELD_CHARS = 1 << 18
+
 
 def _counts(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(flags)])
@@ -33,7 +36,7 @@ def _counts(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(ids, first): the distinct feature ids of each text, one after another, and where each text's begin."""
     all_ids, sizes = [], []
-    for a, b in batches(texts):
+    for a, b in batches(texts, HELD_CHARS):
         data, start, end, first = words_of(texts[a:b])
         n = len(start)
         if n:
@@ -83,6 +86,12 @@ class NbSvm:
         return dot / np.maximum(norm, 1e-9) + self.bias
 
 
+def margins_of(model: NbSvm, texts: pa.Array, rows: int = 256) -> np.ndarray:
+    """The margin of each text, ``rows`` of them at a time: a worker that stays idle keeps the memory of its largest step."""
+    parts = [model.margins(*features(texts.slice(at, rows).to_pylist())) for at in range(0, len(texts), rows)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, alpha: float = ALPHA, cost: float = COST, epochs: int = EPOCHS) -> NbSvm:
     """Fit to the feature ids of each row and labels 0 or 1; with one class only, every margin has its sign."""
     y = np.where(labels == 1, 1.0, -1.0)
@@ -165,7 +174,7 @@ def score_quality(docs: DataFrame, model: NbSvm) -> DataFrame:
     def run(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = NbSvm(weight.astype(np.float64), square.astype(np.float64), bias)
         for batch in batch_iter:
-            margin = fitted.margins(*features(batch.column("text").to_pylist()))
+            margin = margins_of(fitted, batch.column("text"))
             score = 1.0 / (1.0 + np.exp(-np.clip(2.0 * margin, -500, 500)))
             columns = [batch.column(c) for c in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score), pa.array((score >= 0.5).astype(np.int32))], [*names, "score", "predicted"])

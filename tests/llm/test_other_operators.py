@@ -5,16 +5,18 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from statuta.llm.html_extract import extract, extract_pages, infer
 from statuta.llm.mixing import mix_sources, schedule
 from statuta.llm.mtree import top_inner
-from statuta.llm.quality import features, fit, quality_report
+from statuta.llm.quality import features, fit, margins_of, quality_report
 from statuta.llm.secrets import scan_secrets, spans_of
 
 
@@ -253,3 +255,17 @@ def test_fixed_texts_are_counted_over_all_pages_and_whole_pages(spark):
     for n in range(40):
         assert got[n] == [f"Title {n}", *[f"paragraph {n} {k}" for k in range(2500 if n < 20 else 3)], "Said often" if n % 4 else f"Said once {n}"]
     assert got[100] == got[1]
+
+
+def test_scoring_a_batch_takes_little_memory():
+    """A worker holds the n-grams of a few texts at a time, however many a batch has, and scores them as it would all at once."""
+    rng = random.Random(8)
+    texts = [" ".join(f"word{rng.randrange(5000)}" for _ in range(300)) for _ in range(4000)] + [None, ""]
+    model = fit([features([t])[0] for t in texts[:20]], np.arange(20) % 2)
+    array = pa.array(texts)
+    tracemalloc.start()
+    got = margins_of(model, array)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * sum(len(t or "") for t in texts)
+    assert np.allclose(got, model.margins(*features(texts)))
