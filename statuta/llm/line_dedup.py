@@ -69,17 +69,22 @@ def _band_keys(distinct: DataFrame, width: int, bands: int, rows: int) -> DataFr
 
     A band's minima are columns of one row: so many that the aggregation holds
     a group for each band, not for each bin, and so few that its loop is compiled.
+    A second aggregation puts the bands of a line side by side.
     """
     each = _shingles(distinct.select("h", *_units("line", width)), width, "h")
     each = each.select("h", F.shiftrightunsigned("x", 33).alias("v"), F.expr(f"cast((x & 4294967295) % {bands * rows} as int)").alias("bin"))
     each = each.select("h", "v", F.expr(f"bin div {rows}").cast("int").alias("band"), F.expr(f"bin % {rows}").alias("row"))
     least = each.groupBy("h", "band").agg(*[F.min(F.expr(f"if(row = {k}, v, null)")).alias(f"m{k}") for k in range(rows)])
-    of = least.groupBy("h").agg(F.collect_list(F.struct("band", F.array(*[f"m{k}" for k in range(rows)]).alias("m"))).alias("of"))
-    some = of.select("h", F.expr("map_from_entries(of)").alias("of")).select("h", F.expr(f"flatten(transform(sequence(0, {bands - 1}), band -> coalesce(of[band], array_repeat(cast(null as bigint), {rows}))))").alias("m"))
+    every = [(band, k) for band in range(bands) for k in range(rows)]
+    of = least.groupBy("h").agg(*[F.max(F.expr(f"if(band = {band}, m{k}, null)")).alias(f"m{band}_{k}") for band, k in every])
+    m = f"array({', '.join(f'm{band}_{k}' for band, k in every)})"
+    # Most lines fill all bins and need no array functions, which aren't compiled.
+    full = " and ".join(f"m{band}_{k} is not null" for band, k in every)
+    plain = f"array({', '.join(f'xxhash64({band}, ' + ', '.join(f'm{band}_{k}' for k in range(rows)) + ')' for band in range(bands))})"
     # An array of one item binds a name, so that what it stands for is worked out once.
-    full = "transform(array(filter(m, x -> x is not null)), held -> transform(m, (x, k) -> coalesce(x, array_min(transform(held, y -> xxhash64(k, y))))))"
-    keys = f"transform({full}, d -> transform(sequence(0, {bands - 1}), band -> xxhash64(band, slice(d, band * {rows} + 1, {rows}))))[0]"
-    return some.select("h", F.expr(keys).alias("keys"))
+    filled = f"transform(array(filter({m}, x -> x is not null)), held -> transform({m}, (x, k) -> coalesce(x, array_min(transform(held, y -> xxhash64(k, y))))))"
+    keys = f"if({full}, {plain}, transform({filled}, d -> transform(sequence(0, {bands - 1}), band -> xxhash64(band, slice(d, band * {rows} + 1, {rows}))))[0])"
+    return of.select("h", F.expr(keys).alias("keys"))
 
 
 def _shingles(lines: DataFrame, width: int, *keys: str) -> DataFrame:
@@ -124,9 +129,13 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
     spark = lines.sparkSession
     keyed = stored(_band_keys(lines.select("h", "line").dropDuplicates(["h"]), width, bands, rows), "bands")
     release(spark)
-    met = keyed.select("h", F.posexplode("keys").alias("no", "band"))
-    sizes = stored(met.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
-    rivals = stored(met.join(_small(sizes), "band").select("band", "no", "h", "size"), "rivals")
+    # Bands cross one exchange, in which they are both counted and picked: both sides of the join need the same columns, or each has its own.
+    met = keyed.select("h", F.posexplode("keys").alias("no", "band")).select("h", F.col("no").cast("byte").alias("no"), "band").repartition("band")
+    met = met.where("band is not null")
+    sizes = met.groupBy("band").agg(F.count("*").alias("size"), F.min("h").alias("low"), F.min("no").alias("least")).where("size > 1 and low is not null and least is not null")
+    rivals = stored(met.join(sizes.hint("shuffle_hash"), "band").select("band", "no", "h", "size"), "rivals")
+    remove(spark, keyed)
+    release(spark)
     weight = rivals.groupBy("h").agg(F.sum("size").alias("weight"))
     leaders = rivals.join(weight, "h").groupBy("band").agg(F.min_by("h", F.struct(-F.col("weight"), F.col("h"))).alias("leader"))
     led = stored(rivals.join(leaders, "band").select("band", "no", "h", "leader", "size"), "led")
@@ -140,8 +149,9 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
     split = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.when(F.col("h") == F.col("leader"), F.col("root"))).alias("leads")).where("low < high")
     apart = stored(rooted.where("h <> leader").join(split.select("band", "leads"), "band"), "apart")
     few = stored(apart.select("h").distinct(), "few")
-    sketches = _sketches(units.join(_small(few), "h", "left_semi"), width).join(keyed, "h")
-    sketches = stored(sketches.select("h", "n", *[f"s{k}" for k in range(WORDS)], *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(bands)]), "sketches")
+    # Two lines meet in no band but those of ``rivals``.
+    own = rivals.join(_small(few), "h", "left_semi").groupBy("h").agg(*[F.max(F.expr(f"if(no = {k}, band, null)")).alias(f"k{k}") for k in range(bands)])
+    sketches = stored(_sketches(units.join(_small(few), "h", "left_semi"), width).join(own, "h"), "sketches")
     full = apart.join(sketches, "h")
     sides = [full.select([F.col(c).alias(f"{c}_{e}") for c in full.columns]) for e in "ab"]
     # Each pair once: in the first band in which it meets, and from the side that isn't with the leader (of two such: the smaller).
@@ -153,7 +163,7 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
     meet = sides[0].where("root_a <> leads_a").join(sides[1], (F.col("band_a") == F.col("band_b")) & (F.col("root_a") != F.col("root_b")) & once & first & near)
     more = stored(meet.select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")), "more")
     others = _verified(more, units, width, threshold)
-    remove(spark, keyed, sizes, rivals, led, pairs, units, apart, few, sketches, more)
+    remove(spark, rivals, led, pairs, units, apart, few, sketches, more)
     release(spark)
     return links.unionByName(others)
 

@@ -336,3 +336,22 @@ def test_a_block_takes_little_memory():
     tracemalloc.stop()
     assert peak < 8 * sum(map(len, texts)) and len(found)
 
+
+
+def test_bands_cross_one_exchange(spark, monkeypatch):
+    """Where nothing is small enough to broadcast, a line's bands are dealt out once, and lines without rivals go nowhere else."""
+    monkeypatch.setattr("statuta.llm.line_dedup.BROADCAST_ROWS", -1)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rng = random.Random(7)
+    lines = [sentence(rng, 30) for _ in range(1500)]
+    lines += [x + "." for x in lines[:40]] + [x + ".." for x in lines[:40]]
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = lambda: [k for j in range(store.jobsList(None).size()) for k in ids(store.jobsList(None).apply(j).stageIds())]
+    ids = lambda seq: [seq.apply(k) for k in range(seq.size())]
+    first = max(stages(), default=-1) + 1
+    table = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    assert line_links(table).count() >= 80
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    total = sum(store.lastStageAttempt(k).shuffleWriteRecords() for k in set(stages()) if k >= first)
+    assert total < (BANDS + 10) * len(lines)
