@@ -7,9 +7,12 @@ host's fixed texts.  A region that only its class or id calls noise stays if it
 holds the page itself.
 
 The facts of a host are counted over all its distinct pages and their whole
-texts: a text is fixed if at least ``FIXED_SHARE`` of the pages that have its path
-(three or more) have it there; the container is the deepest path that holds 7
-in 10 of the texts that aren't fixed.
+texts.  The pages' element streams are aligned level by level: the k-th child of a
+name is the k-th one on all pages, unless pages differ in how many of that name
+a parent has; those are a repeat, and all of them are one place.  A place that pages lack
+is optional.  A text is fixed if at least ``FIXED_SHARE`` of the pages that have its place
+(three or more) have it there, and a place of other texts is a slot; the container is the
+deepest path that holds 7 in 10 of the texts that aren't fixed.
 
 ``infer`` aligns token streams into a wrapper, a union-free regular expression
 over tokens (repeats inside a page fold into groups, a mismatch of two texts
@@ -113,7 +116,7 @@ def _is_named_noise(tag: str, attributes: dict[str, str], in_article: bool) -> b
 
 
 def nodes(page: str):
-    """(path, text or None for a block boundary, noise, article, named) in page order; path is a tuple of labels.
+    """(path, text or None for a block boundary, noise, article, named) in page order; path is a tuple of labels, each with its number among its parent's of that name.
 
     named holds the numbers of the enclosing regions that only their class or id calls noise.
     An element below ``DEEPEST`` others has its parent's path, and a named region inside of
@@ -121,6 +124,7 @@ def nodes(page: str):
     """
     nowhere = "", (), False, False, ()
     stack: list[tuple[str, tuple[str, ...], bool, bool, tuple[int, ...]]] = []  # tag, path, noise, article, named
+    children: list[dict[str, int]] = [{}]  # by label, of the page and of each element of the stack
     opened: Counter[str] = Counter()
     regions = 0
 
@@ -128,6 +132,7 @@ def nodes(page: str):
         for s in stack[k:]:
             opened[s[0]] -= 1
         del stack[k:]
+        del children[k + 1 :]
 
     for token in tokens(page):
         tag, path, noise, article, named = stack[-1] if stack else nowhere
@@ -159,7 +164,10 @@ def nodes(page: str):
                 attributes = _attributes(token[2])
                 if len(named) < DEEPEST and _is_named_noise(tag, attributes, article):
                     named, regions = (*named, regions), regions + 1
-                own = (*path, _label(tag, attributes)) if len(path) < DEEPEST else path
+                label = _label(tag, attributes)
+                number = children[-1][label] = children[-1].get(label, 0) + 1
+                own = (*path, f"{label}.[{number}]") if len(path) < DEEPEST else path
+                children.append({})
                 stack.append((tag, own, noise or _is_noise(tag, attributes, article), article or tag in ("article", "main"), named))
                 opened[tag] += 1
         else:
@@ -270,6 +278,38 @@ def _path_key(path: tuple[str, ...]) -> str:
     return " ".join(path)
 
 
+def _plain(path: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(x.rpartition(".")[0] for x in path)
+
+
+def _place(path: tuple[str, ...], repeats: frozenset[str]) -> str:
+    """Where a path is in the host's alignment: numbers of repeated elements go."""
+    plain, key, out = _plain(path), "", []
+    for full, name in zip(path, plain, strict=True):
+        key = f"{key} {name}" if key else name
+        out.append(name if key in repeats else full)
+    return " ".join(out)
+
+
+def child_counts(paths: set[tuple[str, ...]]) -> dict[str, tuple[int, int]]:
+    """By path without numbers: the least and the most elements of it in a parent that has any, on one page."""
+    most: dict[tuple[tuple[str, ...], str], int] = {}
+    seen: set[tuple[str, ...]] = set()
+    for path in paths:
+        while path and path not in seen:
+            seen.add(path)
+            name, _, number = path[-1].rpartition(".")
+            parent = path[:-1], name
+            most[parent] = max(most.get(parent, 0), int(number[1:-1]))
+            path = path[:-1]
+    out: dict[str, tuple[int, int]] = {}
+    for (parent, name), n in most.items():
+        key = _path_key((*_plain(parent), name))
+        low, high = out.get(key, (n, n))
+        out[key] = min(low, n), max(high, n)
+    return out
+
+
 def _text_key(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) >> 1
 
@@ -344,40 +384,69 @@ def extract(page: str | None, known: dict | None = None) -> str:
     if articles:
         return "\n".join(text for _, text, article in blocks if article)
     if known:
-        fixed, container = known["fixed"], tuple(known["container"])
-        inside = [b for b in blocks if b[0][: len(container)] == container]
-        blocks = [b for b in inside or blocks if (_path_key(b[0]), _text_key(b[1])) not in fixed]
+        fixed, container, repeats = known["fixed"], tuple(known["container"]), known["repeats"]
+        inside = [b for b in blocks if _plain(b[0][: len(container)]) == container]
+        blocks = [b for b in inside or blocks if (_place(b[0], repeats), _text_key(b[1])) not in fixed]
     return "\n".join(text for _, text, _ in blocks)
 
 
+def _facts_of(base: DataFrame, known: DataFrame) -> DataFrame:
+    """``base`` with the facts of its host; ``known`` is broadcast if its characters have been counted to be few."""
+    small = known.agg(F.sum(F.length("facts") + F.length("host"))).first()[0] or 0
+    return base.join(F.broadcast(known) if small <= BROADCAST_CHARS else known, "host", "left")
+
+
+def host_repeats(pages: DataFrame) -> DataFrame:
+    """(host, facts): the repeated paths of each host as JSON; ``pages`` has (host, html)."""
+
+    def counts(frames):
+        for pdf in frames:
+            of: dict[tuple[str, str], tuple[int, int]] = {}
+            for host, page in zip(pdf["host"], pdf["html"], strict=True):
+                for path, (low, high) in child_counts({n[0] for n in nodes(page)}).items():
+                    at = of.get((host, path), (low, high))
+                    of[host, path] = min(at[0], low), max(at[1], high)
+            yield pd.DataFrame([(*k, *v) for k, v in of.items()], columns=["host", "path", "low", "high"])
+
+    each = pages.where("html is not null").mapInPandas(counts, "host string, path string, low int, high int")
+    return each.groupBy("host", "path").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").groupBy("host").agg(F.to_json(F.sort_array(F.collect_list("path"))).alias("facts"))
+
+
 def host_facts(pages: DataFrame) -> DataFrame:
-    """(host, facts): one row a host, its fixed texts and its container as JSON; ``pages`` has (host, html)."""
+    """(host, facts): one row a host, its fixed texts, its container and its repeated paths as JSON; ``pages`` has (host, html)."""
+    repeated = stored(host_repeats(pages), "repeats")
 
     def texts(frames):
+        seen: dict[str | None, frozenset[str]] = {None: frozenset()}
         for pdf in frames:
             rows: list[tuple] = []
-            for host, page in zip(pdf["host"], pdf["html"], strict=True):
+            for host, page, facts in zip(pdf["host"], pdf["html"], pdf["facts"], strict=True):
+                facts = facts if isinstance(facts, str) else None
+                if facts not in seen:
+                    if len(seen) > 1000:
+                        seen = {None: frozenset()}
+                    seen[facts] = frozenset(json.loads(facts))
                 key = _text_key(page)
-                at = {(_path_key(path), _text_key(text)) for path, text, _ in text_blocks(page)[1]}
-                rows += [(host, path, text, key) for path, text in at] + [(host, path, None, key) for path in {p for p, _ in at}]
-            yield pd.DataFrame({"host": [r[0] for r in rows], "path": [r[1] for r in rows], "text": pd.array([r[2] for r in rows], "Int64"), "page": pd.array([r[3] for r in rows], "Int64")})
-
-    # A page's copies count once.  Rows without a text count the pages of a path.
-    each = pages.where("html is not null").mapInPandas(texts, "host string, path string, text long, page long").distinct()
-    counted = stored(each.groupBy("host", "path", "text").agg(F.count("*").alias("n")), "texts")
-    of_path = counted.where("text is null").select("host", "path", F.col("n").alias("pages"))
-    judged = counted.where("text is not null").join(of_path, ["host", "path"])
+                at = {(_place(path, seen[facts]), _path_key(_plain(path)), _text_key(text)) for path, text, _ in text_blocks(page)[1]}
+                rows += [(host, place, path, text, key) for place, path, text in at] + [(host, place, path, None, key) for place, path in {x[:2] for x in at}]
+            yield pd.DataFrame({"host": [r[0] for r in rows], "place": [r[1] for r in rows], "path": [r[2] for r in rows], "text": pd.array([r[3] for r in rows], "Int64"), "page": pd.array([r[4] for r in rows], "Int64")})
+
+    # A page's copies count once.  Rows without a text count the pages of a place.
+    each = _facts_of(pages.where("html is not null"), repeated).select("host", "html", "facts").mapInPandas(texts, "host string, place string, path string, text long, page long").distinct()
+    counted = stored(each.groupBy("host", "place", "path", "text").agg(F.count("*").alias("n")), "texts")
+    of_place = counted.where("text is null").select("host", "place", F.col("n").alias("pages"))
+    judged = counted.where("text is not null").join(of_place, ["host", "place"])
     judged = judged.withColumn("fixed", (F.col("pages") >= FIXED_PAGES) & (F.col("n") >= FIXED_SHARE * F.col("pages")))
-    by_path = judged.groupBy("host", "path").agg(F.sum(F.when(F.col("fixed"), 0).otherwise(F.col("n"))).alias("slots"), F.collect_list(F.when(F.col("fixed"), F.col("text"))).alias("texts"))
-    by_host = by_path.groupBy("host").agg(F.collect_list(F.struct("path", "slots", "texts")).alias("paths"))
+    by_path = judged.groupBy("host", "path").agg(F.sum(F.when(F.col("fixed"), 0).otherwise(F.col("n"))).alias("slots"), F.collect_list(F.when(F.col("fixed"), F.struct("place", "text"))).alias("texts"))
+    by_host = by_path.groupBy("host").agg(F.collect_list(F.struct("path", "slots", "texts")).alias("paths")).join(repeated, "host", "left")
 
     def one(frames):
         for pdf in frames:
             out = []
-            for paths in pdf["paths"]:
-                fixed = sorted((r["path"], int(t)) for r in paths for t in r["texts"])
+            for paths, facts in zip(pdf["paths"], pdf["facts"], strict=True):
+                fixed = sorted((t["place"], int(t["text"])) for r in paths for t in r["texts"])
                 slots = {tuple(r["path"].split(" ")) if r["path"] else (): int(r["slots"]) for r in paths if r["slots"]}
-                out.append(json.dumps({"fixed": fixed, "container": container_of(slots)}))
+                out.append(json.dumps({"fixed": fixed, "container": container_of(slots), "repeats": json.loads(facts) if isinstance(facts, str) else []}))
             yield pd.DataFrame({"host": pdf["host"], "facts": out})
 
     return by_host.mapInPandas(one, "host string, facts string")
@@ -394,8 +463,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)", 1))
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
     known = stored(host_facts(base.select("host", "html")), "facts")
-    small = known.agg(F.sum(F.length("facts") + F.length("host"))).first()[0] or 0
-    both = base.join(F.broadcast(known) if small <= BROADCAST_CHARS else known, "host", "left").select("page_id", "url", "html", "facts")
+    both = _facts_of(base, known).select("page_id", "url", "html", "facts")
 
     def run(frames):
         seen: dict[str | None, dict | None] = {None: None}
@@ -407,7 +475,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                     if len(seen) > 1000:
                         seen = {None: None}
                     of = json.loads(facts)
-                    seen[facts] = {"fixed": {tuple(x) for x in of["fixed"]}, "container": of["container"]}
+                    seen[facts] = {"fixed": {tuple(x) for x in of["fixed"]}, "container": of["container"], "repeats": frozenset(of["repeats"])}
                 texts.append(extract(page, seen[facts]))
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 

@@ -269,3 +269,12 @@ def test_scoring_a_batch_takes_little_memory():
     tracemalloc.stop()
     assert peak < 3 * sum(len(t or "") for t in texts)
     assert np.allclose(got, model.margins(*features(texts)))
+
+
+def test_fixed_texts_are_told_by_their_place_in_the_alignment(spark):
+    """A slot that once holds a fixed text of its path keeps it, as its place differs; repeats are one place."""
+    last = lambda n: "Read more from us" if n == 7 else f"About story {n}"
+    page = lambda n: f"<body><div><div>Read more from us</div><div><h1>Title {n}</h1>{''.join(f'<p>paragraph {n} {k}</p>' for k in range(1 + n % 4))}<p>Fixed end</p></div><div>{last(n)}</div></div>"
+    got = {r.page_id: r.text.split("\n") for r in extract_pages(spark.createDataFrame([(n, f"https://a.example/{n}", page(n)) for n in range(12)], "page_id long, url string, html string")).collect()}
+    for n in range(12):
+        assert got[n] == [f"Title {n}", *[f"paragraph {n} {k}" for k in range(1 + n % 4)], last(n)]
