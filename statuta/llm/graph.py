@@ -15,7 +15,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     itself) with the smallest hash under the round's seed, the links are
     rewritten to the hooks, and loops and repeats go.  A chain of any order
     shrinks by a constant factor a round, so rounds grow with the logarithm of
-    the longest path.  Every aggregation combines before its shuffle, so that a
+    the longest path.  In every other round a vertex of one link hooks onto its
+    neighbour whatever the hashes, so that a star of any size takes two rounds
+    or three.  Every aggregation combines before its shuffle, so that a
     vertex with very many links costs one partial row a task; the joins are
     plain ones that adaptive execution may split.  Each round's tables are
     written to the shared folder, so a lost executor repeats one round at most.
@@ -28,8 +30,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while not edges.isEmpty():
         seed = len(hooks)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        best = both.groupBy("u").agg(F.min_by("v", F.xxhash64("v", F.lit(seed))).alias("v"))
-        hook = best.select("u", F.when(F.xxhash64("v", F.lit(seed)) < F.xxhash64("u", F.lit(seed)), F.col("v")).otherwise(F.col("u")).alias("p"))
+        best = both.groupBy("u").agg(F.min_by("v", F.xxhash64("v", F.lit(seed))).alias("v"), F.count("*").alias("degree"))
+        # Two such vertices may swap places, which loses no path; the next round joins them.
+        moves = F.xxhash64("v", F.lit(seed)) < F.xxhash64("u", F.lit(seed))
+        moves = moves | (F.col("degree") == 1) if seed % 2 == 0 else moves
+        hook = best.select("u", F.when(moves, F.col("v")).otherwise(F.col("u")).alias("p"))
         hook = stored(hook, "hooks")
         hooks.append(hook)
         left = edges.join(hook, "u").select(F.col("p").alias("u"), "v")

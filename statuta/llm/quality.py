@@ -101,14 +101,16 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, alpha: float = ALPHA, cost:
     for ids, sign in zip(rows, y, strict=True):
         (p if sign > 0 else q)[ids] += 1
     ratio = np.log((p / (np.sum(y > 0) + 2 * alpha)) / (q / (np.sum(y < 0) + 2 * alpha)))
-    x = [ratio[i] / max(np.linalg.norm(ratio[i]), 1e-9) for i in rows]
+    # The scaled rows are made where they are used: all of them at once would be twice the sample's ids in doubles.
+    norms = [max(np.linalg.norm(ratio[i]), 1e-9) for i in rows]
     # A class with fewer rows weighs as much as the other.
     most = cost * len(y) / 2 / np.where(y > 0, np.sum(y > 0), np.sum(y < 0))
     w, bias, dual = np.zeros(DIM), 0.0, np.zeros(len(y))
     rng = np.random.default_rng(3)
     for _ in range(epochs):
         for k in rng.permutation(len(y)):
-            ids, v = rows[k], x[k]
+            ids = rows[k]
+            v = ratio[ids] / norms[k]
             slope = y[k] * (w[ids] @ v + bias) - 1.0
             new = min(max(dual[k] - slope / (v @ v + 1.0), 0.0), most[k])
             if new != dual[k]:
@@ -117,7 +119,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, alpha: float = ALPHA, cost:
                 bias += step
                 dual[k] = new
     model = NbSvm(w * ratio, ratio * ratio, bias)
-    model.bias -= _cut(np.array([w[i] @ v for i, v in zip(rows, x, strict=True)]) + bias, y)
+    model.bias -= _cut(np.array([w[i] @ (ratio[i] / n) for i, n in zip(rows, norms, strict=True)]) + bias, y)
     return model
 
 

@@ -12,6 +12,7 @@ import xxhash
 from statuta.llm.embedding_dedup import near_vectors
 from statuta.llm.graph import components
 from statuta.llm.hashing import _powers, _residues
+from statuta.llm import graph, line_dedup
 from statuta.llm.line_dedup import BANDS, ROWS, WIDTH, _band_keys, dedup_lines, line_links
 from statuta.llm.simhash import GrayTree, dedup_simhash, fingerprint_links, fingerprints, gray_rank, hexed, part_masks, simhash_groups
 from statuta.llm.substring_dedup import WindowIndex, _ingest, dedup_substrings, kept_digest
@@ -355,3 +356,14 @@ def test_bands_cross_one_exchange(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
     total = sum(store.lastStageAttempt(k).shuffleWriteRecords() for k in set(stages()) if k >= first)
     assert total < (BANDS + 10) * len(lines)
+
+
+def test_a_star_takes_few_rounds(spark, monkeypatch):
+    """Each round writes tables and plans joins in the driver; a group of copies must not take a round for every halving."""
+    names = []
+    real = graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: names.append(name) or real(df, name))
+    table = spark.createDataFrame([(5000, k) for k in range(3000)] + [(9000, 9001)], "a long, b long")
+    got = {r.id: r.component_id for r in components(table).collect()}
+    assert got == {**dict.fromkeys([*range(3000), 5000], 0), 9000: 9000, 9001: 9000}
+    assert names.count("hooks") <= 4

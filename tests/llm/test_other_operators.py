@@ -278,3 +278,16 @@ def test_fixed_texts_are_told_by_their_place_in_the_alignment(spark):
     got = {r.page_id: r.text.split("\n") for r in extract_pages(spark.createDataFrame([(n, f"https://a.example/{n}", page(n)) for n in range(12)], "page_id long, url string, html string")).collect()}
     for n in range(12):
         assert got[n] == [f"Title {n}", *[f"paragraph {n} {k}" for k in range(1 + n % 4)], last(n)]
+
+
+def test_the_fit_holds_no_second_copy_of_the_features():
+    """The driver keeps its memory for the stages after it."""
+    rng = np.random.default_rng(2)
+    rows = [rng.integers(0, 1 << 12, 3000).astype(np.int32) for _ in range(1500)]
+    y = np.where(np.arange(1500) % 2, 1.0, 0.0)
+    tracemalloc.start()
+    fit(rows, y, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The features are 36 MB in doubles, the tables of weights about 16 MB.
+    assert peak < 30 << 20
