@@ -49,6 +49,9 @@ BROADCAST_GONE = 20_000
 #: Pairs, or lines, whose shingles a task counts.
 PAIRS_A_TASK = 500
 
+#: Shingles whose hashes are worked out in one row.
+RUN = 32
+
 #: Shingles of a line up to which a pair's sets are held as arrays, at most some MB at a time.
 HELD_SHINGLES = 1 << 16
 
@@ -110,18 +113,32 @@ def _verified(pairs: DataFrame, units: DataFrame, width: int, threshold: float)
     most ``HELD_SHINGLES`` compare two arrays; for a longer line the shingles
     are rows, so that a task may spill.
     """
-    tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_tasks(pairs, PAIRS_A_TASK))
-    both = pairs.join(units.toDF("a", "raw_a", "n_a"), "a").join(units.toDF("b", "raw_b", "n_b"), "b").repartition(tasks, "a", "b")
-    sets = [f"transform(sequence(1, n_{e}), i -> xxhash64(substring(raw_{e}, 2 * i - 1, {2 * width})))" for e in "ab"]
-    held = both.where(F.greatest("n_a", "n_b") <= HELD_SHINGLES)
-    # The arrays are bound to a name, so that each is made once.
-    sizes = f"transform(array(named_struct('a', {sets[0]}, 'b', {sets[1]})), p -> struct(size(array_union(p.a, p.b)) as either, size(array_intersect(p.a, p.b)) as both))[0]"
-    counted = held.select("a", "b", F.expr(sizes).alias("sizes")).select("a", "b", "sizes.either", "sizes.both")
-    if not units.where(F.col("n") > HELD_SHINGLES).isEmpty():
-        counted = counted.unionByName(_counted(both.where(F.greatest("n_a", "n_b") > HELD_SHINGLES), width))
+    spark = pairs.sparkSession
+    tasks = lambda some: max(int(spark.conf.get("spark.sql.shuffle.partitions")), scan_tasks(some, PAIRS_A_TASK))
+    texts = lambda some: some.join(units.toDF("a", "raw_a", "n_a"), "a").join(units.toDF("b", "raw_b", "n_b"), "b")
+    held = texts(pairs).where(F.greatest("n_a", "n_b") <= HELD_SHINGLES).repartition(tasks(pairs), "a", "b")
+    ends = F.array(*[F.struct(F.col(f"raw_{e}").alias("raw"), F.col(f"n_{e}").alias("n"), F.lit(e).alias("side")) for e in "ab"])
+    runs = _runs(held.select("a", "b", F.explode_outer(ends).alias("end")).select("a", "b", "end.*"), width, "a", "b", "side")
+    sets = runs.groupBy("a", "b").agg(*[F.flatten(F.collect_list(F.when(F.col("side") == e, F.col("run")))).alias(f"in_{e}") for e in "ab"])
+    counted = sets.select("a", "b", F.size(F.array_union("in_a", "in_b")).alias("either"), F.size(F.array_intersect("in_a", "in_b")).alias("both"))
+    long = units.where(F.col("n") > HELD_SHINGLES).select("h")
+    if not long.isEmpty():
+        ends = [pairs.join(_small(long.toDF(e)), e, "left_semi").select("a", "b") for e in "ab"]
+        far = stored(ends[0].unionByName(ends[1]).distinct(), "far")
+        counted = counted.unionByName(_counted(texts(_small(far)).repartition(tasks(far), "a", "b"), width))
     return stored(counted.where(F.col("both") >= threshold * F.col("either") - 1e-9).select("a", "b"), "checked")
 
 
+def _runs(lines: DataFrame, width: int, *keys: str) -> DataFrame:
+    """(*keys, run): the hashes of the shingles of ``lines`` (*keys, raw, n), ``RUN`` of them in an array, by compiled code.
+
+    A line's last shingle fills up its last array, which changes no set.  (A lambda over all shingles isn't
+    compiled, and a filter on what comes of it moves into joins, where each use of it works it out anew.)
+    """
+    each = lines.select(*keys, "raw", "n", F.explode_outer(F.expr(f"sequence(1, n, {RUN})")).alias("i"))
+    return each.select(*keys, F.array(*[F.xxhash64(F.expr(f"substring(raw, 2 * least(i + {k}, n) - 1, {2 * width})")) for k in range(RUN)]).alias("run"))
+
+
 def _counted(both: DataFrame, width: int) -> DataFrame:
     """(a, b, either, both) of pairs with their texts, by a row for each shingle."""
     ends = F.array(*[F.struct(F.col(f"raw_{e}").alias("raw"), F.col(f"n_{e}").alias("n"), F.lit(bit).alias("side")) for e, bit in (("a", 1), ("b", 2))])
@@ -138,7 +155,12 @@ def _small(df: DataFrame) -> DataFrame:
 def _sketches(units: DataFrame, width: int) -> DataFrame:
     """(h, n, s0, s1, ...): the number of distinct shingles and the odd sketch of each line of ``units`` (h, raw, n)."""
     tasks = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), scan_tasks(units, PAIRS_A_TASK))
-    sets = _shingles(units.repartition(tasks, "h"), width, "h").distinct()
+    dealt = units.repartition(tasks, "h")
+    held = dealt.where(F.col("n") <= HELD_SHINGLES)
+    sets = _runs(held, width, "h").groupBy("h").agg(F.array_distinct(F.flatten(F.collect_list("run"))).alias("set"))
+    sets = sets.select("h", F.explode_outer("set").alias("x"))
+    if not units.where(F.col("n") > HELD_SHINGLES).isEmpty():
+        sets = sets.unionByName(_shingles(dealt.where(F.col("n") > HELD_SHINGLES), width, "h").distinct())
     each = sets.select("h", F.expr("shiftleft(1L, cast(x & 63 as int))").alias("bit"), F.expr(f"cast(shiftrightunsigned(x, 6) % {WORDS} as int)").alias("word"))
     return each.groupBy("h").agg(F.count("*").cast("int").alias("n"), *[F.bit_xor(F.expr(f"if(word = {k}, bit, 0L)")).alias(f"s{k}") for k in range(WORDS)])
 
@@ -164,7 +186,8 @@ def line_roots(lines: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
 def _rounds(lines: DataFrame, threshold: float, width: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links of the leaders, (h, root) of what they join, and links of lines that they don't join."""
     spark = lines.sparkSession
-    keyed = stored(_band_keys(lines.select("h", "line").dropDuplicates(["h"]), width, bands, rows), "bands")
+    # Dealt out first: texts are sorted once, behind the exchange, as most lines have no copy to drop before it.
+    keyed = stored(_band_keys(lines.select("h", "line").repartition("h").dropDuplicates(["h"]), width, bands, rows), "bands")
     release(spark)
     # Bands cross one exchange, in which they are both counted and picked: both sides of the join need the same columns, or each has its own.
     met = keyed.select("h", F.posexplode("keys").alias("no", "band")).select("h", F.col("no").cast("byte").alias("no"), "band").repartition("band")
@@ -220,11 +243,13 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDT
     root = stored(line_roots(_lines(docs), threshold, width, bands, rows), "roots")
     release(spark)
     seen = _lines(docs).select("doc_id", "__doc", "line_no", "h")
-    rooted = seen.join(root, "h", "left").select("doc_id", "__doc", "line_no", F.coalesce("root", "h").alias("root"))
+    rooted = stored(seen.join(root, "h", "left").select("doc_id", "__doc", "line_no", F.coalesce("root", "h").alias("root")), "rooted")
+    release(spark)
     first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "__doc", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1")
     extra = rooted.join(first.select("root", F.col("first.__doc").alias("first_doc"), F.col("first.line_no").alias("first_no")), "root")
     extra = extra.where((F.col("__doc") != F.col("first_doc")) | (F.col("line_no") != F.col("first_no")))
     gone = stored(extra.select("__doc", "line_no").distinct(), "gone")
+    remove(spark, rooted)
     release(spark)
     few = gone.count() <= BROADCAST_GONE
     gone = gone.groupBy("__doc").agg(F.collect_list("line_no").alias("__gone"))

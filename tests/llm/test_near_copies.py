@@ -396,3 +396,22 @@ def test_removed_lines_meet_whole_texts_in_an_exchange(spark, monkeypatch):
     got = dedup_lines(spark.createDataFrame([(d, t, "x", None) for d, t in rows], SCHEMA))
     assert "ShuffledHashJoin" in got._jdf.queryExecution().sparkPlan().toString()
     assert {r.doc_id: r.text for r in got.collect()} == brute_lines(rows)
+
+
+def test_shingles_of_pairs_are_hashed_once_and_by_compiled_code(spark, monkeypatch):
+    """Pairs' sets need no lambda, which isn't compiled, and no join condition that makes them anew; runs of any length lose no shingle."""
+    rng = random.Random(11)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(n + WIDTH - 1)) for n in (1, 31, 32, 33, 63, 64, 65, 200)] + ["ab" * 100, "\U0001f600" * 40]
+    lines += [x[:-1] + "~" for x in lines] + ["xyz" + x for x in lines]
+    units = spark.createDataFrame(list(enumerate(lines)), "h long, line string").select("h", *line_dedup._units("line", WIDTH))
+    pairs = [(a, b) for b in range(len(lines)) for a in range(b)]
+    sets = [shingles(x) for x in lines]
+    plans, real = [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name))
+    found = line_dedup._verified(spark.createDataFrame(pairs, "a long, b long"), units, WIDTH, 0.8).collect()
+    assert {(r.a, r.b) for r in found} == {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert plans and not any("lambda" in x for x in plans)
+    by_arrays = {r.h: r for r in line_dedup._sketches(units, WIDTH).collect()}
+    assert {h: r.n for h, r in by_arrays.items()} == {h: len(x) for h, x in enumerate(sets)}
+    monkeypatch.setattr(line_dedup, "HELD_SHINGLES", 40)
+    assert {r.h: r for r in line_dedup._sketches(units, WIDTH).collect()} == by_arrays
